@@ -4,6 +4,7 @@ tables plus, where SQL can say the same thing, a DuckDB oracle."""
 
 def load_all():
     from fieldcraft.plans import (  # noqa: F401
+        q_prep,
         q_target,
     )
     from fieldcraft.plans.registry import ORACLE, QUERIES
