@@ -100,18 +100,21 @@ def mult_hash(c, seed: int) -> Column:
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-                name: str = "rank0") -> DataFrame:
+                name: str = "rank0", pos_name: str | None = None) -> DataFrame:
     """0-based row rank inside each group, without a window per group:
     global position over (group, order) minus the group's start, where group
     starts are a distributed prefix sum over group sizes. A hot group is
-    spread over many range partitions instead of one task."""
+    spread over many range partitions instead of one task. ``pos_name``
+    keeps the global position (consecutive rows of a group are consecutive
+    positions)."""
     group = list(group)
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).cast("double").alias("_n"))
     starts = global_prefix_sum(sizes, group, ["_n"], ["_start"]).select(*group, "_start")
     pos = global_position(df, [*group, *order], "_gpos")
     return (pos.join(starts, group)
                .withColumn(name, (F.col("_gpos") - F.col("_start")).cast("long"))
-               .drop("_gpos", "_start"))
+               .withColumnRenamed("_gpos", pos_name or "_gpos")
+               .drop("_start", *([] if pos_name else ["_gpos"])))
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str = "label", test_frac: float = 0.2,
