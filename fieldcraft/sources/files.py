@@ -115,3 +115,31 @@ def read_model_outputs(spark: SparkSession, pattern: str, schema: T.StructType,
     """Glob scan of many score files; the model name comes from the path."""
     df = spark.read.schema(schema).option("header", True).csv(pattern)
     return df.withColumn("model", F.regexp_extract(F.col("_metadata.file_path"), name_regex, 1))
+
+
+# ------------------------------------------------------------------ S07
+def write_ffm_text(lines: DataFrame, path: str, key: str | None = "row_id",
+                   line: str = "line") -> None:
+    """FFM text ``label field:idx:val ...``. With ``key`` each line is
+    prefixed by ``key<TAB>`` so rows stay identifiable without relying on
+    file order."""
+    out = F.concat_ws("\t", F.col(key).cast("string"), F.col(line)) if key else F.col(line)
+    lines.select(out.alias("value")).write.mode("overwrite").text(path)
+
+
+def read_ffm_text(spark: SparkSession, path: str, keyed: bool = True,
+                  labelled: bool = True) -> DataFrame:
+    """Parse FFM text into ``(row_id, label, feats ARRAY<STRUCT<field INT,
+    idx INT, val DOUBLE>>)``."""
+    raw = spark.read.text(path)
+    if keyed:
+        kv = F.split("value", "\t", 2)
+        raw = raw.select(kv[0].cast("long").alias("row_id"), kv[1].alias("value"))
+    toks = F.filter(F.split("value", " "), lambda t: t != F.lit(""))
+    lab = F.get(toks, 0).cast("int") if labelled else F.lit(None).cast("int")
+    rest = F.slice(toks, 2, F.size(toks)) if labelled else toks
+    feats = F.transform(rest, lambda e: F.struct(
+        F.split(e, ":")[0].cast("int").alias("field"), F.split(e, ":")[1].cast("int").alias("idx"),
+        F.split(e, ":")[2].cast("double").alias("val")))
+    cols = (["row_id"] if keyed else [])
+    return raw.select(*cols, lab.alias("label"), feats.alias("feats"))
