@@ -208,3 +208,33 @@ FROM log WHERE split = 'train' GROUP BY uid
 """)
 def user_pos_neg_lists(spark, d):
     return round_doubles(T.user_item_lists(log(spark, d), IS_TRAIN))
+
+
+# ------------------------------------------------------------------ T07 / F03 / E07
+CROSS_KEYS = [["uid"], ["advertiserId", "uid"], ["campaignId", "uid"], ["creativeSize", "uid"]]
+VOCAB_THRESHOLD = 100
+
+
+def _cross_sql():
+    names = ["_".join(p) for p in CROSS_KEYS]
+    stack = "\n  UNION ALL ".join(
+        f"SELECT row_id, '{n}_{side}_num' AS feature, CAST(CASE WHEN n > 0 THEN {expr} ELSE -1 END AS VARCHAR) AS value "
+        f"FROM r WHERE pair = '{n}' AND split = 'train'"
+        for n in names for side, expr in (("positive", "s"), ("negative", "n - s")))
+    return _lfo_rows_sql(CROSS_KEYS) + f""",
+sv AS ({stack}),
+g AS (SELECT feature, value, count(*) AS cnt, min(row_id) AS f FROM sv GROUP BY ALL HAVING count(*) >= {VOCAB_THRESHOLD})
+SELECT feature, value, cnt, CAST(row_number() OVER (PARTITION BY feature ORDER BY f) + 1 AS INTEGER) AS idx FROM g
+"""
+
+
+@register("oof_pos_neg_cross", sql=_cross_sql())
+def oof_pos_neg_cross(spark, d):
+    from fieldcraft.operators.counts import first_seen_vocab
+    m = merged(spark, d)
+    wide = T.oof_pos_neg(m, CROSS_KEYS, keep=["row_id", "split"], is_train=IS_TRAIN)
+    feats = [f"{'_'.join(p)}_{s}_num" for p in CROSS_KEYS for s in ("positive", "negative")]
+    long = wide.filter(IS_TRAIN).select(
+        "row_id", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"))
+                                      for f in feats])).alias("e")).select("row_id", "e.feature", "e.value")
+    return first_seen_vocab(long, "value", ["row_id"], VOCAB_THRESHOLD, field="feature")
