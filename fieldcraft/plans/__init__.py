@@ -6,6 +6,7 @@ def load_all():
     from fieldcraft.plans import (  # noqa: F401
         q_counts,
         q_encode,
+        q_eval,
         q_info,
         q_prep,
         q_target,

@@ -8,10 +8,14 @@ from pyspark.sql import types as T
 
 from fieldcraft.sources import fixtures as fx
 
-IS_TRAIN = F.col("split") == F.lit("train")
 KEEP = ["row_id", "split"]
 
 
+def is_train():
+    """Training rows of the fixture (a Column, built when a session exists)."""
+    return F.col("split") == F.lit("train")
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double/float column for a stable comparison."""
     out = []

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldcraft.operators import counts as C
 from fieldcraft.operators import ordered as O
-from fieldcraft.plans.common import IS_TRAIN, KEEP, log, merged, round_doubles
+from fieldcraft.plans.common import is_train, KEEP, log, merged, round_doubles
 from fieldcraft.plans.registry import register
 from fieldcraft.sources import fixtures as fx
 
@@ -107,7 +107,7 @@ def uid_count_vocab(spark, d):
     lg = log(spark, d)
     parts = [lg.filter(F.col("split") == s) for s in ("train", "valid", "test")]
     st = C.uid_aid_stats(parts, fx.ad(spark, d))
-    return C.first_seen_vocab(st.filter(IS_TRAIN), "uid_count", ["row_id"], THRESHOLD)
+    return C.first_seen_vocab(st.filter(is_train()), "uid_count", ["row_id"], THRESHOLD)
 
 
 # ------------------------------------------------------------------ W01
@@ -157,7 +157,7 @@ SELECT al.row_id, al.split, al.seq, coalesce(voc.seq_idx, 0) AS seq_idx FROM al
 """)
 def label_history_seq(spark, d):
     lg = log(spark, d)
-    return O.label_history_seq(lg.filter(IS_TRAIN), lg.filter(~IS_TRAIN), "uid", "row_id",
+    return O.label_history_seq(lg.filter(is_train()), lg.filter(~is_train()), "uid", "row_id",
                                keep=KEEP).select("row_id", "split", "seq", "seq_idx")
 
 
@@ -248,7 +248,7 @@ SELECT l.row_id, l.split, CAST(l.kw1_len AS INTEGER) AS kw1_len,
 """)
 def token_len_vocab(spark, d):
     m = C.token_length(merged(spark, d).select("row_id", "split", "kw1"), "kw1")
-    vals = m.filter(IS_TRAIN).withColumn("v", F.col("kw1_len").cast("string"))
+    vals = m.filter(is_train()).withColumn("v", F.col("kw1_len").cast("string"))
     vocab = C.first_seen_vocab(vals, "v", ["row_id"], THRESHOLD)
     return C.value_vocab_lookup(m, "kw1_len", vocab, "v", "kw1_len_idx").select(
         "row_id", "split", "kw1_len", "kw1_len_idx")
@@ -270,5 +270,5 @@ g AS (SELECT token, count(*) AS cnt, min(row_id * 1000000 + p) AS f FROM t GROUP
 SELECT token, cnt, CAST(row_number() OVER (ORDER BY f) + 1 AS INTEGER) AS idx FROM g WHERE cnt >= {THRESHOLD}
 """)
 def vocab_tokens(spark, d):
-    m = merged(spark, d).filter(IS_TRAIN)
+    m = merged(spark, d).filter(is_train())
     return C.token_vocab(m, "kw1", "row_id", THRESHOLD)

@@ -8,7 +8,7 @@ from fieldcraft.functions.numeric import UID_CONVERT_EDGES, UID_COUNT_EDGES
 from fieldcraft.operators import counts as C
 from fieldcraft.operators import info as I
 from fieldcraft.operators import target as T
-from fieldcraft.plans.common import IS_TRAIN, KEEP, log, merged
+from fieldcraft.plans.common import is_train, KEEP, log, merged
 from fieldcraft.plans.registry import register
 from fieldcraft.sources import fixtures as fx
 
@@ -108,7 +108,7 @@ FROM st JOIN cv USING (row_id)
 """)
 def digitize_fixed(spark, d):
     st = _stats(spark, d).select("row_id", "uid_count")
-    cv = T.user_conversion_loo(log(spark, d), KEEP, IS_TRAIN).select("row_id", "uid_convert")
+    cv = T.user_conversion_loo(log(spark, d), KEEP, is_train()).select("row_id", "uid_convert")
     out = st.join(cv, "row_id")
     out = I.digitize_fixed(out, "uid_count", UID_COUNT_EDGES, "uid_count_bin")
     out = I.digitize_fixed(out, "uid_convert", UID_CONVERT_EDGES, "uid_convert_bin")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldcraft.operators import prep as P
-from fieldcraft.plans.common import log, merged, round_doubles
+from fieldcraft.plans.common import is_train, log, merged, round_doubles
 from fieldcraft.plans.registry import register
 from fieldcraft.session import scratch_path
 from fieldcraft.sources import files as S

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldcraft.operators import target as T
-from fieldcraft.plans.common import IS_TRAIN, KEEP, fpi_sql, log, merged, round_doubles
+from fieldcraft.plans.common import is_train, KEEP, fpi_sql, log, merged, round_doubles
 from fieldcraft.plans.registry import register
 
 OOF_PAIRS = [("campaignId", "gender"), ("advertiserId", "lbs"), ("creativeSize", "ability")]
@@ -41,7 +41,7 @@ WHERE m.split <> 'train'
 """)
 def smoothed_ctr(spark, d):
     m = merged(spark, d).withColumn("campaignId_gender", F.concat_ws("_", "campaignId", "gender"))
-    out = T.smoothed_rate(m.filter(IS_TRAIN), m.filter(~IS_TRAIN).select(*KEEP, "campaignId_gender"),
+    out = T.smoothed_rate(m.filter(is_train()), m.filter(~is_train()).select(*KEEP, "campaignId_gender"),
                           ["campaignId_gender"], "campaignId_gender_stas")
     return round_doubles(out.select(*KEEP, "campaignId_gender_stas"))
 
@@ -61,7 +61,7 @@ GROUP BY row_id, split, label
 @register("oof_smoothed_ctr", sql=_oof_sql())
 def oof_smoothed_ctr(spark, d):
     m = merged(spark, d)
-    out = T.oof_smoothed_rate(m, OOF_PAIRS, keep=["row_id", "split", "label"], is_train=IS_TRAIN)
+    out = T.oof_smoothed_rate(m, OOF_PAIRS, keep=["row_id", "split", "label"], is_train=is_train())
     return round_doubles(out)
 
 
@@ -86,7 +86,7 @@ def beta_prior_fpi(spark, d):
     m = merged(spark, d)
     long = T._stack_keys(m.select("campaignId", "gender", "fold", "label", "split"),
                          [("campaignId", "gender")], ["fold", "label", "split"])
-    stats = T.leave_fold_out_stats(long, ["pair", "key"], "fold", IS_TRAIN)
+    stats = T.leave_fold_out_stats(long, ["pair", "key"], "fold", is_train())
     hist = T.key_histogram(stats.filter(F.col("n") > 0), ["lk_fold"], "n", "s")
     pri = T.beta_prior_fpi(hist, ["lk_fold"], n="n", c="s", iters=5, eps=1e-3)
     return round_doubles(pri)
@@ -112,7 +112,7 @@ FROM r GROUP BY row_id, split, label
 @register("oof_pos_neg", sql=_posneg_sql())
 def oof_pos_neg(spark, d):
     m = merged(spark, d)
-    return T.oof_pos_neg(m, POSNEG_KEYS, keep=["row_id", "split", "label"], is_train=IS_TRAIN)
+    return T.oof_pos_neg(m, POSNEG_KEYS, keep=["row_id", "split", "label"], is_train=is_train())
 
 
 # ------------------------------------------------------------------ T06 / A11 / P12
@@ -138,7 +138,7 @@ SELECT row_id, split, {value} FROM v, nn GROUP BY row_id, split
     "CAST(max(CASE WHEN n > 0 THEN s + 1 ELSE 0 END) AS BIGINT) AS kw1_pos_max"))
 def contig_fold_pos(spark, d):
     m = merged(spark, d).select("row_id", "split", "kw1", "label")
-    return T.contig_fold_token_max(m.filter(IS_TRAIN), m.filter(~IS_TRAIN), "kw1", "row_id",
+    return T.contig_fold_token_max(m.filter(is_train()), m.filter(~is_train()), "kw1", "row_id",
                                    KEEP, k=5, mode="pos")
 
 
@@ -151,7 +151,7 @@ def _rate_sql():
 @register("contig_fold_rate", sql=_rate_sql())
 def contig_fold_rate(spark, d):
     m = merged(spark, d).select("row_id", "split", "kw1", "label")
-    return round_doubles(T.contig_fold_token_max(m.filter(IS_TRAIN), m.filter(~IS_TRAIN), "kw1",
+    return round_doubles(T.contig_fold_token_max(m.filter(is_train()), m.filter(~is_train()), "kw1",
                                                  "row_id", KEEP, k=5, mode="rate"))
 
 
@@ -164,7 +164,7 @@ UNION ALL SELECT -1, 0
 """)
 def count_of_counts(spark, d):
     m = merged(spark, d)
-    return T.count_of_counts(m.filter(IS_TRAIN), "kw1")
+    return T.count_of_counts(m.filter(is_train()), "kw1")
 
 
 # ------------------------------------------------------------------ T04
@@ -179,7 +179,7 @@ FROM m LEFT JOIN pr USING (row_id)
 """)
 def token_noisy_or(spark, d):
     m = merged(spark, d)
-    return round_doubles(T.token_noisy_or(m, "kw1", "row_id", IS_TRAIN, KEEP))
+    return round_doubles(T.token_noisy_or(m, "kw1", "row_id", is_train(), KEEP))
 
 
 # ------------------------------------------------------------------ T09 / A14
@@ -196,7 +196,7 @@ SELECT row_id, split, CAST(p AS BIGINT) AS pos_num, CAST(n AS BIGINT) AS neg_num
 FROM j
 """)
 def user_conv_loo(spark, d):
-    return round_doubles(T.user_conversion_loo(log(spark, d), KEEP, IS_TRAIN))
+    return round_doubles(T.user_conversion_loo(log(spark, d), KEEP, is_train()))
 
 
 @register("user_pos_neg_lists", sql="""
@@ -207,7 +207,7 @@ SELECT uid,
 FROM log WHERE split = 'train' GROUP BY uid
 """)
 def user_pos_neg_lists(spark, d):
-    return round_doubles(T.user_item_lists(log(spark, d), IS_TRAIN))
+    return round_doubles(T.user_item_lists(log(spark, d), is_train()))
 
 
 # ------------------------------------------------------------------ T07 / F03 / E07
@@ -232,9 +232,9 @@ SELECT feature, value, cnt, CAST(row_number() OVER (PARTITION BY feature ORDER B
 def oof_pos_neg_cross(spark, d):
     from fieldcraft.operators.counts import first_seen_vocab
     m = merged(spark, d)
-    wide = T.oof_pos_neg(m, CROSS_KEYS, keep=["row_id", "split"], is_train=IS_TRAIN)
+    wide = T.oof_pos_neg(m, CROSS_KEYS, keep=["row_id", "split"], is_train=is_train())
     feats = [f"{'_'.join(p)}_{s}_num" for p in CROSS_KEYS for s in ("positive", "negative")]
-    long = wide.filter(IS_TRAIN).select(
+    long = wide.filter(is_train()).select(
         "row_id", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"))
                                       for f in feats])).alias("e")).select("row_id", "e.feature", "e.value")
     return first_seen_vocab(long, "value", ["row_id"], VOCAB_THRESHOLD, field="feature")

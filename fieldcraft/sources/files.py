@@ -78,9 +78,12 @@ def write_csv(df: DataFrame, path: str, float_format: str = "%.6f", label: str =
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with header and an explicit schema (no inference), optional subset."""
-    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
-    return df.select(*columns) if columns else df
+    """CSV with header and explicit types (no inference). Columns are matched
+    by header name, not position, then cast (a bad value fails under ANSI);
+    optional subset."""
+    raw = spark.read.option("header", True).csv(path)
+    fields = [f for f in schema.fields if not columns or f.name in columns]
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
 
 
 # ------------------------------------------------------------------ S10 / J05
@@ -112,9 +115,11 @@ def attach_by_position(ids: DataFrame, id_order: str, values: DataFrame,
 # ------------------------------------------------------------------ S09
 def read_model_outputs(spark: SparkSession, pattern: str, schema: T.StructType,
                        name_regex: str = r"model[^_/]*_([^/]+)/") -> DataFrame:
-    """Glob scan of many score files; the model name comes from the path."""
-    df = spark.read.schema(schema).option("header", True).csv(pattern)
-    return df.withColumn("model", F.regexp_extract(F.col("_metadata.file_path"), name_regex, 1))
+    """Glob scan of many score files (header, columns by name); the model
+    name comes from the path."""
+    raw = spark.read.option("header", True).csv(pattern)
+    cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
+    return raw.select(*cols, F.regexp_extract(F.col("_metadata.file_path"), name_regex, 1).alias("model"))
 
 
 # ------------------------------------------------------------------ S07

@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log(spark: SparkSession, sf_dir: str, extra: tuple = ()) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     rid = F.col("event_id")
     return ev.select(
@@ -44,6 +44,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(rid % 10 < TRAIN_BELOW, "train")
          .when(rid % 10 < VALID_BELOW, "valid").otherwise("test").alias("split"),
         (rid % N_FOLDS).alias("fold"),
+        *extra,
     )
 
 
@@ -79,3 +80,20 @@ def usr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interaction log inner-joined with both dimensions."""
     return log(spark, sf_dir).join(ad(spark, sf_dir), "aid").join(usr(spark, sf_dir), "uid")
+
+
+MODELS = ["a", "b", "c"]
+
+
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deterministic model scores per interaction row, long form
+    ``(model, row_id, aid, uid, label, split, fold, score)``: ``a`` has many
+    ties, ``b`` follows the event value, ``c`` is coarse."""
+    base = log(spark, sf_dir, extra=("value",))  # same scan, no self-join
+    scores = F.array(
+        F.struct(F.lit("a").alias("model"), ((F.col("row_id") * 7919) % 1000 / F.lit(1000.0)).alias("score")),
+        F.struct(F.lit("b").alias("model"), F.least(F.col("value") / F.lit(500.0), F.lit(1.0)).alias("score")),
+        F.struct(F.lit("c").alias("model"),
+                 ((F.col("uid") % 13 + F.col("aid") % 7) / F.lit(20.0)).alias("score")))
+    return (base.select("row_id", "aid", "uid", "label", "split", "fold", F.explode(scores).alias("s"))
+                .select("s.model", "row_id", "aid", "uid", "label", "split", "fold", "s.score"))
