@@ -9,6 +9,7 @@ def load_all():
         q_encode,
         q_eval,
         q_info,
+        q_models,
         q_prep,
         q_target,
     )
