@@ -1,0 +1 @@
+"""Column-level helpers and the distributed ordering helpers."""

@@ -77,19 +77,23 @@ def pmi_tokens(df: DataFrame, cond: str, keyword: str, row_id: str = "row_id",
 
 # ------------------------------------------------------------------ E14 / F11
 def percentile_edges(df: DataFrame, cols: Sequence[str],
-                     percents: Sequence[float] = PERCENTILE_EDGES) -> dict[str, list[float]]:
-    """Exact percentiles (linear interpolation) of each column in one
-    aggregation; the aggregate keeps one counter per distinct value, so it
-    suits count-like columns (``percentile_approx`` for continuous ones)."""
+                     percents: Sequence[float] = PERCENTILE_EDGES,
+                     approx: bool = False, accuracy: int = 10000) -> dict[str, list[float]]:
+    """Percentiles of each column in one aggregation. Exact (linear
+    interpolation, as numpy) keeps one counter per distinct value, which suits
+    count-like columns; ``approx=True`` uses the bounded-memory
+    ``percentile_approx`` sketch for continuous columns."""
     fr = [p / 100.0 for p in percents]
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), fr).alias(c) for c in cols]).first()
+    agg = (lambda c: F.percentile_approx(F.col(c).cast("double"), fr, accuracy)) if approx else \
+          (lambda c: F.percentile(F.col(c).cast("double"), fr))
+    row = df.agg(*[agg(c).alias(c) for c in cols]).first()
     return {c: list(row[c]) for c in cols}
 
 
 def digitize_percentile(df: DataFrame, cols: Sequence[str],
-                        percents: Sequence[float] = PERCENTILE_EDGES) -> DataFrame:
+                        percents: Sequence[float] = PERCENTILE_EDGES, approx: bool = False) -> DataFrame:
     """Replace each column by its right-closed bucket among its percentiles."""
-    edges = percentile_edges(df, cols, percents)
+    edges = percentile_edges(df, cols, percents, approx)
     out = df
     for c in cols:
         out = out.withColumn(c, digitize_right(F.col(c), edges[c]))

@@ -92,8 +92,8 @@ def pair_token_max(df: DataFrame, left: str, right: str, row_id: str, keep: Sequ
     ex = df.select(*keep, F.explode(pairs).alias("pair"))
     cnt = ex.groupBy("pair").agg(F.count(F.lit(1)).alias("_c"))
     name = f"{left}_{right}_pair_max"
-    per_row = ex.dropDuplicates([*keep, "pair"]).join(cnt, "pair").groupBy(*keep) \
-                .agg(F.max("_c").alias(name))
+    # a max needs no per-row dedupe: join the pair counts and take the max
+    per_row = ex.join(cnt, "pair").groupBy(*keep).agg(F.max("_c").alias(name))
     return per_row
 
 

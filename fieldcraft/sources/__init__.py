@@ -1,0 +1 @@
+"""Driver-table fixtures and file formats."""

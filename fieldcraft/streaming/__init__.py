@@ -1,0 +1,2 @@
+"""No streaming operators: the workload is batch only (no watermarks,
+windows, triggers or state anywhere in the operator inventory)."""
