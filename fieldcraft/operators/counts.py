@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldcraft.functions.numeric import zscore
 from fieldcraft.functions.ordered import global_position
+from fieldcraft.operators.prep import rank_within
 from fieldcraft.functions.text import distinct_token_count, token_count, tokens, tokens_ws
 
 
@@ -172,14 +173,17 @@ def first_seen_vocab(values: DataFrame, value: str, order: Sequence[str], thresh
                      start: int = 2, field: str | None = None) -> DataFrame:
     """Vocabulary of values with count >= ``threshold`` in ``values``,
     indexed from ``start`` in order of first appearance (``order`` columns of
-    the first row holding the value). Cut by a threshold, the vocabulary is
-    bounded by rows/threshold, so numbering it with a window is safe; per
-    field when ``field`` is given."""
+    the first row holding the value); per field when ``field`` is given.
+    Numbered with the distributed position helpers: no single-task window
+    even when a large table leaves millions of entries above the threshold."""
     first = F.min(F.struct(*[F.col(o) for o in order])).alias("_first")
     g = values.groupBy(*([field] if field else []), value).agg(F.count(F.lit(1)).alias("cnt"), first)
     g = g.filter(F.col("cnt") >= threshold)
-    w = Window.orderBy("_first") if not field else Window.partitionBy(field).orderBy("_first")
-    return g.withColumn("idx", (F.row_number().over(w) + F.lit(start - 1)).cast("int")).drop("_first")
+    if field:
+        r = rank_within(g, [field], ["_first"], "_r")
+    else:
+        r = global_position(g, ["_first"], "_r")
+    return r.withColumn("idx", (F.col("_r") + F.lit(start)).cast("int")).drop("_first", "_r")
 
 
 def token_vocab(df: DataFrame, col: str, order: str, threshold: int, start: int = 2) -> DataFrame:

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcraft.functions.ordered import global_position
 from fieldcraft.functions.text import tokens
 from fieldcraft.operators.prep import rank_within
 
@@ -64,9 +65,8 @@ def label_history_seq(train: DataFrame, others: DataFrame, key: str, order: str,
                                  .alias("_h")))  # at most `depth` entries per row
     seq = F.array_join(F.transform(F.coalesce("_h", F.array()), lambda x: x["_lab"].cast("string")), " ")
     tr = r.join(prev, "_g", "left").withColumn("seq", seq)
-    vocab = (tr.groupBy("seq").agg(F.min(order).alias("_first"))
-               .withColumn("seq_idx", (F.row_number().over(Window.orderBy("_first")) - 1).cast("int"))
-               .select("seq", "seq_idx"))  # one row per distinct sequence (<= 2^(depth+1) for 0/1 labels)
+    vocab = global_position(tr.groupBy("seq").agg(F.min(order).alias("_first")), ["_first"], "_i") \
+        .select("seq", F.col("_i").cast("int").alias("seq_idx"))  # one row per distinct sequence
     cnt = train.groupBy(key).agg(F.count(F.lit(1)).alias("_nk"))
     last = (r.join(cnt, key).filter(F.col("_r") >= F.col("_nk") - depth)
              .groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col("_g"), F.col(label)))).alias("_t")))
