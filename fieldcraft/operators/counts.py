@@ -55,11 +55,20 @@ def nunique_zscore(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
 
 
 def nunique_recipe(df: DataFrame, specs: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Several standardised distinct counts, ``specs = [(key, col, name)]``."""
-    out = df
+    """Several standardised distinct counts, ``specs = [(key, col, name)]``:
+    all distinct-count tables are joined first, then every mean and std comes
+    from one aggregate (one action for the whole recipe)."""
+    j = df
     for key, col, name in specs:
-        out = nunique_zscore(out, key, col, name)
-    return out
+        j = j.join(df.groupBy(key).agg(F.count_distinct(col).alias(name)), key, "left")
+    aggs = []
+    for _, _, name in specs:
+        aggs += [F.avg(name).alias(f"{name}__mu"), F.stddev_pop(name).alias(f"{name}__sd")]
+    st = j.agg(*aggs).first()
+    for _, _, name in specs:
+        mu, sd = st[f"{name}__mu"] or 0.0, st[f"{name}__sd"] or 0.0
+        j = j.withColumn(name, zscore(F.col(name).cast("double"), F.lit(mu), F.lit(sd)))
+    return j
 
 
 # ------------------------------------------------------------------ A09
@@ -129,21 +138,31 @@ def label_encode(df: DataFrame, col: str, name: str | None = None,
 
 
 # ------------------------------------------------------------------ E02 / F01
-def cross_encode(df: DataFrame, pairs: Sequence[Sequence[str]], times: int = 100) -> DataFrame:
+def cross_encode(df: DataFrame, pairs: Sequence[Sequence[str]], times: int = 100,
+                 row_id: str = "row_id") -> DataFrame:
     """For each pair: key ``a_b`` (strings), values seen fewer than ``times``
     times -> '-1', then label-encoded in string order. A pair already present
-    (either order) is skipped."""
-    out = df
-    for p in pairs:
-        a, b = p
-        if f"{a}_{b}" in out.columns or f"{b}_{a}" in out.columns:
+    (either order) is skipped. All pairs are stacked into one long form
+    ``(row, pair, value)``: one count aggregation, one distributed dense
+    numbering ranked within each pair, one pivot back to columns."""
+    todo = []
+    for a, b in pairs:
+        if f"{a}_{b}" in df.columns or f"{b}_{a}" in df.columns or f"{a}_{b}" in [f"{x}_{y}" for x, y in todo]:
             continue
-        name = f"{a}_{b}"
-        out = out.withColumn(name, F.concat_ws("_", F.col(a).cast("string"), F.col(b).cast("string")))
-        out = rare_to_minus1(out, name, times)
-        out = label_encode(out, name, name + "_le", numeric_order=False) \
-            .drop(name).withColumnRenamed(name + "_le", name)
-    return out
+        todo.append((a, b))
+    if not todo:
+        return df
+    names = [f"{a}_{b}" for a, b in todo]
+    ent = F.array(*[F.struct(F.lit(f"{a}_{b}").alias("pair"),
+                             F.concat_ws("_", F.col(a).cast("string"), F.col(b).cast("string")).alias("v"))
+                    for a, b in todo])
+    long = df.select(row_id, F.explode(ent).alias("_e")).select(row_id, "_e.pair", "_e.v")
+    cnt = long.groupBy("pair", "v").agg(F.count(F.lit(1)).alias("_vc"))
+    mapped = cnt.withColumn("r", F.when(F.col("_vc") < times, F.lit("-1")).otherwise(F.col("v")))
+    codes = rank_within(mapped.select("pair", "r").distinct(), ["pair"], ["r"], "code")
+    table = mapped.join(codes, ["pair", "r"]).select("pair", "v", "code")
+    wide = long.join(table, ["pair", "v"]).groupBy(row_id).pivot("pair", names).agg(F.first("code"))
+    return df.join(wide, row_id, "left")
 
 
 # ------------------------------------------------------------------ F05 / F06 / F07

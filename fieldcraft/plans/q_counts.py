@@ -270,5 +270,8 @@ g AS (SELECT token, count(*) AS cnt, min(row_id * 1000000 + p) AS f FROM t GROUP
 SELECT token, cnt, CAST(row_number() OVER (ORDER BY f) + 1 AS INTEGER) AS idx FROM g WHERE cnt >= {THRESHOLD}
 """)
 def vocab_tokens(spark, d):
-    m = merged(spark, d).filter(is_train())
-    return C.token_vocab(m, "kw1", "row_id", THRESHOLD)
+    from fieldcraft.session import scratch_path
+    from fieldcraft.sources import files as S
+    path = scratch_path(spark, "features")
+    S.write_feature_files(merged(spark, d), path, ["kw1"])        # per-split feature files (S06)
+    return C.token_vocab(S.read_feature_files(spark, path, "train"), "kw1", "row_id", THRESHOLD)

@@ -148,3 +148,34 @@ def read_ffm_text(spark: SparkSession, path: str, keyed: bool = True,
         F.split(e, ":")[2].cast("double").alias("val")))
     cols = (["row_id"] if keyed else [])
     return raw.select(*cols, lab.alias("label"), feats.alias("feats"))
+
+
+# ------------------------------------------------------------------ S06 / S08 / S11 / S12
+def write_feature_files(df: DataFrame, path: str, features: Sequence[str], split: str = "split",
+                        row_id: str = "row_id") -> None:
+    """One table per run with one column per feature, partitioned by split
+    (the per-(split, feature) line files as a columnar layout)."""
+    df.select(row_id, split, *features).write.mode("overwrite").partitionBy(split).parquet(path)
+
+
+def read_feature_files(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    return df.filter(F.col("split") == split) if split else df  # partition pruning
+
+
+def save_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Persist a vocabulary / count / matrix table (parquet or json)."""
+    df.write.mode("overwrite").format(fmt).save(path)
+
+
+def load_table(spark: SparkSession, path: str, fmt: str = "parquet",
+               schema: T.StructType | None = None) -> DataFrame:
+    r = spark.read.format(fmt)
+    return (r.schema(schema) if schema is not None else r).load(path)
+
+
+def materialize_once(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` unless ``path`` already holds it, then read it back: the
+    written table cuts lineage and is reused by later jobs."""
+    df.write.mode("ignore").parquet(path)
+    return df.sparkSession.read.parquet(path)
