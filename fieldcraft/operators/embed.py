@@ -85,15 +85,22 @@ def mean_pool(df: DataFrame, emb: DataFrame, cell: str, n: int, field_no: int =
     toks = cell_tokens(cell, " ", missing)
     if width is None:
         width = df.agg(F.max(F.size(toks))).first()[0] or 1
-    ex = df.select(row_id, F.explode(toks).alias("_t"))
-    ex = ex.withColumn("vec_id", vec_id(F.col("_t").try_cast("long"), field_no, n)).join(emb, "vec_id")
     dim = len(emb.first()["vec"])
     zero = F.array_repeat(F.lit(0.0), dim)
+    # the compact rows are hash-partitioned on the row id first: with a
+    # broadcast weights table the explode and lookup keep that partitioning,
+    # so the groupBy on the row needs no exchange and the token vectors are
+    # never shuffled. explode_outer keeps rows with an empty cell (one null
+    # token), so the groupBy gives every row and no join back is needed.
+    ex = (df.select(row_id, toks.alias("_ts")).repartition(row_id)
+            .select(row_id, F.explode_outer("_ts").alias("_t"))
+            .withColumn("vec_id", vec_id(F.col("_t").try_cast("long"), field_no, n))
+            .join(emb, "vec_id", "left"))
     g = ex.groupBy(row_id).agg(F.aggregate(F.collect_list("vec"), zero, lambda acc, v: vadd(acc, v)).alias("_s"),
-                               F.count(F.lit(1)).alias("_k"))
+                               F.count("vec").alias("_k"))
     den = F.lit(float(width)) if pad == "zero" else F.col("_k").cast("double")
-    out = df.select(row_id).join(g, row_id, "left")
-    return out.select(row_id, F.coalesce(vscale(F.col("_s"), F.lit(1.0) / den), zero).alias("pooled"))
+    pooled = F.when(F.col("_k") > 0, vscale(F.col("_s"), F.lit(1.0) / den)).otherwise(zero)
+    return g.select(row_id, pooled.alias("pooled"))
 
 
 # ------------------------------------------------------------------ N02
@@ -161,17 +168,25 @@ def attention_pool(df: DataFrame, emb: DataFrame, query_field: str, cell: str, n
     tokens (padding slots are masked out, so they get no weight); output the
     weighted sum of token vectors, zeros for an empty cell."""
     dim = len(emb.first()["vec"])
-    q = lookup_fields(df.select(row_id, query_field), emb, [query_field], n, keep=(row_id,)) \
-        .withColumnRenamed(f"v_{query_field}", "_q")
-    ex = (df.select(row_id, F.explode(cell_tokens(cell, " ", missing)).alias("_t"))
-            .withColumn("vec_id", vec_id(F.col("_t").try_cast("long"), key_no, n)).join(emb, "vec_id")
-            .join(q, row_id))
-    scale = 1.0 / math.sqrt(dim)
-    ex = ex.withColumn("_sc", vdot(F.col("_q"), F.col("vec")) * F.lit(scale))
-    g = ex.groupBy(row_id).agg(F.max("_sc").alias("_mx"), F.collect_list(F.struct("_sc", "vec")).alias("_kv"))
     zero = F.array_repeat(F.lit(0.0), dim)
-    wts = F.transform("_kv", lambda e: F.struct(F.exp(e["_sc"] - F.col("_mx")).alias("w"), e["vec"].alias("v")))
-    den = F.aggregate(wts, F.lit(0.0), lambda acc, e: acc + e["w"])
-    num = F.aggregate(wts, zero, lambda acc, e: vadd(acc, vscale(e["v"], e["w"])))
-    pooled = g.select(row_id, vscale(num, F.lit(1.0) / den).alias("att"))
-    return df.select(row_id).join(pooled, row_id, "left").select(row_id, F.coalesce("att", zero).alias("att"))
+    scale = 1.0 / math.sqrt(dim)
+    q = emb.select(F.col("vec_id").alias("_qid"), F.col("vec").alias("_q"))
+    # as in mean_pool: rows partitioned on the row id before the explode; the
+    # query vector rides along with the row's tokens, so each score is
+    # computed in the lookup stage and there is no join on row_id
+    ex = (df.select(row_id, vec_id(F.col(query_field), query_no, n).alias("_qid"),
+                    cell_tokens(cell, " ", missing).alias("_ts")).repartition(row_id)
+            .select(row_id, "_qid", F.explode_outer("_ts").alias("_t"))
+            .join(q, "_qid", "left")
+            .withColumn("vec_id", vec_id(F.col("_t").try_cast("long"), key_no, n))
+            .join(emb, "vec_id", "left")
+            .select(row_id, "vec", (vdot(F.col("_q"), F.col("vec")) * F.lit(scale)).alias("_sc")))
+    g = ex.groupBy(row_id).agg(F.max("_sc").alias("_mx"),
+                               F.collect_list(F.when(F.col("_sc").isNotNull(), F.struct("_sc", "vec"))).alias("_kv"))
+    # one pass over the row's tokens: running (sum of weights, weighted sum)
+    acc0 = F.struct(F.lit(0.0).alias("w"), zero.alias("s"))
+    step = lambda acc, e: F.struct((acc["w"] + F.exp(e["_sc"] - F.col("_mx"))).alias("w"),
+                                   vadd(acc["s"], vscale(e["vec"], F.exp(e["_sc"] - F.col("_mx")))).alias("s"))
+    pooled = F.aggregate("_kv", acc0, step, lambda acc: vscale(acc["s"], F.lit(1.0) / acc["w"]))
+    att = F.when(F.size("_kv") > 0, pooled).otherwise(zero)
+    return g.select(row_id, att.alias("att"))

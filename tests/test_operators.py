@@ -175,3 +175,29 @@ def test_label_history(spark):
     assert out[5][0] == "1 0 1 0"
     assert out[10][0] == "0 1 0 1"
     assert out[11] == ("", 0)
+
+
+def _emb4(spark):
+    # vec_id(value, slot, 4) = pmod(value * 31 + slot, 4)
+    return spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0]), (3, [2.0, 0.0])],
+                                 "vec_id long, vec array<double>")
+
+
+def test_mean_pool_padding_and_empty_cells(spark):
+    from fieldcraft.operators import embed as N
+    df = spark.createDataFrame([(1, "1 2"), (2, "-1"), (3, "4 x"), (4, "1")], "row_id long, c string")
+    zero = {r["row_id"]: r["pooled"] for r in N.mean_pool(df, _emb4(spark), "c", 4).collect()}
+    assert zero == {1: [1.5, 0.5], 2: [0.0, 0.0], 3: [0.5, 0.0], 4: [1.0, 0.0]}   # width 2
+    skip = {r["row_id"]: r["pooled"] for r in N.mean_pool(df, _emb4(spark), "c", 4, pad="skip").collect()}
+    assert skip == {1: [1.5, 0.5], 2: [0.0, 0.0], 3: [1.0, 0.0], 4: [2.0, 0.0]}
+
+
+def test_attention_pool_softmax_and_missing(spark):
+    from fieldcraft.operators import embed as N
+    df = spark.createDataFrame([(1, 1, "1 2"), (2, 1, "-1"), (3, None, "1"), (4, 2, "1 x")],
+                               "row_id long, q int, c string")
+    got = {r["row_id"]: r["att"] for r in N.attention_pool(df, _emb4(spark), "q", "c", 4).collect()}
+    w1, w2 = math.exp(math.sqrt(2)), math.exp(2 * math.sqrt(2))   # q=[2,0]; keys [1,0], [2,0]
+    assert got[1] == pytest.approx([(w1 + 2 * w2) / (w1 + w2), 0.0])
+    assert got[2] == [0.0, 0.0] and got[3] == [0.0, 0.0]
+    assert got[4] == pytest.approx([1.0, 0.0])
