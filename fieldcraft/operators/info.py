@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldcraft.functions.numeric import PERCENTILE_EDGES, digitize_right, pmi_bucket
 from fieldcraft.functions.text import tokens_ws
+from fieldcraft.session import broadcast_if_small, ensure_checkpoint_dir
 
 
 def _log1p_exp(s: Column) -> Column:
@@ -28,21 +29,44 @@ def bucket_by_min(df: DataFrame, cols: Sequence[str], cap: float = 1.5) -> DataF
 
 
 # ------------------------------------------------------------------ I01
-def pmi_single(df: DataFrame, cond: str, attrs: Sequence[str], bucket: bool = True) -> DataFrame:
+def pmi_single(df: DataFrame, cond: str, attrs: Sequence[str], bucket: bool = True,
+               row_id: str = "row_id") -> DataFrame:
     """``new_inf_<cond>_<a> = log1p(cnt_a * cnt_cond / cnt_(cond,a) / N)`` per
-    row, then bucketed. Counts are aggregations joined back; N is one count."""
-    n = df.count()
-    out = df.join(df.groupBy(cond).agg(F.count(F.lit(1)).alias("_ci")), cond, "left")
-    names = []
-    for a in attrs:
-        out = (out.join(df.groupBy(a).agg(F.count(F.lit(1)).alias(f"_cj_{a}")), a, "left")
-                  .join(df.groupBy(cond, a).agg(F.count(F.lit(1)).alias(f"_cij_{a}")), [cond, a], "left"))
-        name = f"new_inf_{cond}_{a}"
-        out = out.withColumn(name, F.log1p(F.col(f"_cj_{a}") * F.col("_ci") / F.col(f"_cij_{a}") / F.lit(float(n))))
-        out = out.drop(f"_cj_{a}", f"_cij_{a}")
-        names.append(name)
-    out = out.drop("_ci")
-    return bucket_by_min(out, names) if bucket else out
+    row, then bucketed (shifted by the column's minimum over all rows).
+
+    All attributes are stacked into one long form ``(row, attr, cond, value)``
+    and counted once by (attr, cond, value); that table is checkpointed and
+    everything else comes from it without another pass over the rows: the
+    marginals ``cnt_a`` (sum over cond) and ``cnt_cond`` (sum over the first
+    attribute's values), N, the score and its bucket. Every (attr, cond,
+    value) group holds at least one row, so the minimum over the groups is
+    the minimum over the rows. Each attribute's scores then go back to the
+    rows in one join on (cond, value); Spark broadcasts that table when its
+    measured size allows and shuffles otherwise."""
+    ensure_checkpoint_dir(df.sparkSession)
+    ent = F.array(*[F.struct(F.lit(a).alias("_a"), F.col(a).cast("string").alias("_v")) for a in attrs])
+    long = df.select(row_id, cond, F.explode(ent).alias("_e")).select(row_id, cond, "_e._a", "_e._v")
+    pair = long.groupBy("_a", cond, "_v").agg(F.count(F.lit(1)).alias("_cij")).checkpoint(eager=True)
+    first = pair.filter(F.col("_a") == attrs[0])
+    n = first.agg(F.sum("_cij")).first()[0] or 0
+    ci = first.groupBy(cond).agg(F.sum("_cij").alias("_ci"))
+    cj = pair.groupBy("_a", "_v").agg(F.sum("_cij").alias("_cj"))
+    score = (pair.join(cj, ["_a", "_v"]).join(ci, cond)
+                 .withColumn("_x", F.log1p(F.col("_cj") * F.col("_ci") / F.col("_cij") / F.lit(float(n)))))
+    st = {r["_a"]: r for r in score.groupBy("_a").agg(F.min("_x").alias("_m"), F.count(F.lit(1)).alias("_k"))
+                                   .collect()}  # one row per attr
+    if bucket:
+        mins = {a: r["_m"] for a, r in st.items()}
+        score = score.withColumn("_x", F.coalesce(*[
+            F.when(F.col("_a") == a, pmi_bucket(F.col("_x"), F.lit(float(mins.get(a) or 0.0)), 1.5))
+            for a in attrs]))
+    out = df
+    for a in attrs:   # one join per attribute with its (cond, value) -> score table
+        sa = score.filter(F.col("_a") == a).select(cond, F.col("_v").alias("_va"),
+                                                     F.col("_x").alias(f"new_inf_{cond}_{a}"))
+        sa = broadcast_if_small(sa, st[a]["_k"] if a in st else 0)
+        out = out.withColumn("_va", F.col(a).cast("string")).join(sa, [cond, "_va"], "left").drop("_va")
+    return out
 
 
 # ------------------------------------------------------------------ I02

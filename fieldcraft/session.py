@@ -56,3 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/fieldcraft-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def broadcast_if_small(df, rows: int, row_bytes: int = 64):
+    """``broadcast(df)`` when its measured row count times a per-row size
+    bound fits under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the
+    plain table (Spark shuffles it, or AQE broadcasts it from runtime size)."""
+    from pyspark.sql import functions as F
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    m = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    raw = raw.strip().lower().rstrip("b")
+    limit = int(float(raw[:-1]) * m[raw[-1]]) if raw and raw[-1] in m else int(raw)
+    return F.broadcast(df) if 0 <= rows * row_bytes <= limit else df

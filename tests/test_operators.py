@@ -201,3 +201,32 @@ def test_attention_pool_softmax_and_missing(spark):
     assert got[1] == pytest.approx([(w1 + 2 * w2) / (w1 + w2), 0.0])
     assert got[2] == [0.0, 0.0] and got[3] == [0.0, 0.0]
     assert got[4] == pytest.approx([1.0, 0.0])
+
+
+def test_broadcast_if_small_checks_measured_size(spark):
+    from fieldcraft.session import broadcast_if_small
+    df = spark.range(10)
+    lim = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        small = spark.range(100).join(broadcast_if_small(df, 10, 64), "id")      # 640 bytes: broadcast
+        large = spark.range(100).join(broadcast_if_small(df, 1000, 64), "id")    # 64k: not hinted
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", lim)
+
+
+def test_pmi_single_matches_direct_formula(spark):
+    from fieldcraft.operators import info as I
+    rows = [(i, i % 3, ["a", "b"][i % 2], i % 4) for i in range(24)]
+    df = spark.createDataFrame(rows, "row_id long, c int, x string, y int")
+    got = {r["row_id"]: (r["new_inf_c_x"], r["new_inf_c_y"])
+           for r in I.pmi_single(df, "c", ["x", "y"], bucket=False).collect()}
+    n = len(rows)
+    for rid, c, x, y in rows:
+        for v, col, want_i in ((x, 2, 0), (y, 3, 1)):
+            cj = sum(1 for r in rows if r[col] == v)
+            ci = sum(1 for r in rows if r[1] == c)
+            cij = sum(1 for r in rows if r[1] == c and r[col] == v)
+            assert got[rid][want_i] == pytest.approx(math.log1p(cj * ci / cij / n))
