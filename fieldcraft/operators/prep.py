@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldcraft.functions.ordered import global_position, global_prefix_sum
+from fieldcraft.functions.ordered import global_position
 
 
 def _c(x) -> Column:
@@ -102,15 +102,14 @@ def mult_hash(c, seed: int) -> Column:
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
                 name: str = "rank0", pos_name: str | None = None) -> DataFrame:
     """0-based row rank inside each group, without a window per group:
-    global position over (group, order) minus the group's start, where group
-    starts are a distributed prefix sum over group sizes. A hot group is
-    spread over many range partitions instead of one task. ``pos_name``
-    keeps the global position (consecutive rows of a group are consecutive
-    positions)."""
+    global position over (group, order) minus the group's start, the
+    smallest position in the group (a grouped min, partially aggregated
+    map-side). A hot group is spread over many range partitions instead of
+    one task. ``pos_name`` keeps the global position (consecutive rows of a
+    group are consecutive positions)."""
     group = list(group)
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    starts = global_prefix_sum(sizes, group, ["_n"], ["_start"]).select(*group, "_start")
     pos = global_position(df, [*group, *order], "_gpos")
+    starts = pos.groupBy(*group).agg(F.min("_gpos").alias("_start"))
     return (pos.join(starts, group)
                .withColumn(name, (F.col("_gpos") - F.col("_start")).cast("long"))
                .withColumnRenamed("_gpos", pos_name or "_gpos")
