@@ -230,3 +230,15 @@ def test_pmi_single_matches_direct_formula(spark):
             ci = sum(1 for r in rows if r[1] == c)
             cij = sum(1 for r in rows if r[1] == c and r[col] == v)
             assert got[rid][want_i] == pytest.approx(math.log1p(cj * ci / cij / n))
+
+
+def test_ffm_encoders_keep_rows_without_entries(spark):
+    specs = [EN.FieldSpec("a", "single", numeric=True), EN.FieldSpec("t", "multi")]
+    df = spark.createDataFrame([(1, "3", "x y", 1), (2, "0", "-1", 0), (3, "9", "z", 0)],
+                               "row_id long, a string, t string, label int")
+    voc = EN.sorted_vocab(df, specs)
+    got = {r["row_id"]: r["line"] for r in EN.sorted_encode(df, specs, voc).collect()}
+    assert set(got) == {1, 2, 3} and got[2] == ""          # zero single and missing cell: no entries
+    fv = spark.createDataFrame([("a", "3", 0, 1), ("t", "x", 1, 2)], "field string, value string, field_id int, idx int")
+    lines = {r["row_id"]: r["line"] for r in EN.ffm_lines(df, specs, fv).collect()}
+    assert lines == {1: "1 0:1:1 1:2:1", 2: "0", 3: "0"}
