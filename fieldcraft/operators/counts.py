@@ -17,6 +17,7 @@ from fieldcraft.functions.numeric import zscore
 from fieldcraft.functions.ordered import global_position
 from fieldcraft.operators.prep import rank_within
 from fieldcraft.functions.text import distinct_token_count, token_count, tokens, tokens_ws
+from fieldcraft.session import broadcast_if_small
 
 
 def _c(x) -> Column:
@@ -160,7 +161,10 @@ def cross_encode(df: DataFrame, pairs: Sequence[Sequence[str]], times: int = 100
     cnt = long.groupBy("pair", "v").agg(F.count(F.lit(1)).alias("_vc"))
     mapped = cnt.withColumn("r", F.when(F.col("_vc") < times, F.lit("-1")).otherwise(F.col("v")))
     codes = rank_within(mapped.select("pair", "r").distinct(), ["pair"], ["r"], "code")
-    table = mapped.join(codes, ["pair", "r"]).select("pair", "v", "code")
+    table = mapped.join(codes, ["pair", "r"]).select("pair", "v", "code").checkpoint(eager=True)
+    # one row per distinct (pair, value): broadcast behind its counted size,
+    # so the stacked rows are not shuffled on a key with hot values
+    table = broadcast_if_small(table, table.count(), 96)
     wide = long.join(table, ["pair", "v"]).groupBy(row_id).pivot("pair", names).agg(F.first("code"))
     return df.join(wide, row_id, "left")
 
@@ -216,5 +220,6 @@ def value_vocab_lookup(df: DataFrame, col: str, vocab: DataFrame, value: str, na
                        unknown: int = 1) -> DataFrame:
     """Index of a value in a vocabulary, unknown -> ``unknown``."""
     v = vocab.select(F.col(value).alias("_v"), F.col("idx").alias(name))
+    v = broadcast_if_small(v, v.count(), 64)   # counted size decides broadcast vs shuffle
     return df.join(v, F.col(col).cast("string") == F.col("_v"), "left") \
              .withColumn(name, F.coalesce(F.col(name), F.lit(unknown))).drop("_v")
