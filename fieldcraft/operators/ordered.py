@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fieldcraft.functions.ordered import global_position
 from fieldcraft.functions.text import tokens
 from fieldcraft.operators.prep import rank_within
+from fieldcraft.session import broadcast_if_small
 
 
 # ------------------------------------------------------------------ W01
@@ -76,6 +77,10 @@ def label_history_seq(train: DataFrame, others: DataFrame, key: str, order: str,
                  .join(last, key, "left").withColumn("seq", F.coalesce("seq", F.lit(""))))
     out_tr = tr.select(*keep, "seq")
     out = out_tr.unionByName(oth.select(*keep, "seq"))
+    # `seq` is heavily skewed (most histories are all-negative): join the
+    # small sequence table by broadcast, behind its counted size, never by a
+    # shuffle on `seq` (at most sum(L^k, k<=depth) rows for L distinct labels)
+    vocab = broadcast_if_small(vocab, vocab.count(), 64)
     return out.join(vocab, "seq", "left").withColumn("seq_idx", F.coalesce("seq_idx", F.lit(0)))
 
 
