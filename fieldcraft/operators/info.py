@@ -82,21 +82,28 @@ def pmi_tokens(df: DataFrame, cond: str, keyword: str, row_id: str = "row_id",
     keep = list(dict.fromkeys([row_id, *keep]))
     n = df.count()
     base = df.select(*keep, *[c for c in (cond, keyword) if c not in keep])
-    toks = base.select(row_id, cond, F.explode(tokens_ws(keyword)).alias("tok"))
+    # explode_outer: a row with an empty cell keeps one null token, so the
+    # single group on the row has every row (no join back onto the rows)
+    rows = base.select(*list(dict.fromkeys([*keep, cond])), F.explode_outer(tokens_ws(keyword)).alias("tok"))
+    toks = rows.filter(F.col("tok").isNotNull())
     back = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("_b"))
     condi = toks.groupBy(cond, "tok").agg(F.count(F.lit(1)).alias("_ct"))
     ccount = base.groupBy(cond).agg(F.count(F.lit(1)).alias("_cc"))
-    p = (toks.join(back, "tok").join(condi, [cond, "tok"]).join(ccount, cond)
+    p = (rows.join(back, "tok", "left").join(condi, [cond, "tok"], "left").join(ccount, cond, "left")
              .withColumn("_p", F.col("_cc") * F.col("_b") / F.col("_ct") / F.lit(float(n))))
-    per_row = p.groupBy(row_id).agg(F.sum(F.log("_p")).alias("_s"), F.count(F.lit(1)).alias("_k"),
-                                    F.min("_p").alias("_mn"))
+    per_row = p.groupBy(*keep).agg(F.sum(F.log("_p")).alias("_s"), F.count("_p").alias("_k"),
+                                   F.min("_p").alias("_mn"))
     pre = f"new_inf_{cond}_{keyword}"
-    out = (base.join(per_row, row_id, "left")
-               .select(*keep, _log1p_exp(F.col("_s")).alias(f"{pre}_max"),
-                       (_log1p_exp(F.col("_s")) / F.col("_k")).alias(f"{pre}_mean"),
-                       F.log1p(F.col("_mn")).alias(f"{pre}_mintok")))
+    out = per_row.select(*keep, _log1p_exp(F.col("_s")).alias(f"{pre}_max"),
+                         (_log1p_exp(F.col("_s")) / F.col("_k")).alias(f"{pre}_mean"),
+                         F.log1p(F.col("_mn")).alias(f"{pre}_mintok"))
     cols = [f"{pre}_max", f"{pre}_mean", f"{pre}_mintok"]
-    return bucket_by_min(out, cols) if bucket else out
+    if not bucket:
+        return out
+    # the minima need every row's score: read them from a checkpoint of the
+    # narrow per-row table instead of recomputing the token joins
+    ensure_checkpoint_dir(df.sparkSession)
+    return bucket_by_min(out.checkpoint(eager=True), cols)
 
 
 # ------------------------------------------------------------------ E14 / F11

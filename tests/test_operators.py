@@ -242,3 +242,17 @@ def test_ffm_encoders_keep_rows_without_entries(spark):
     fv = spark.createDataFrame([("a", "3", 0, 1), ("t", "x", 1, 2)], "field string, value string, field_id int, idx int")
     lines = {r["row_id"]: r["line"] for r in EN.ffm_lines(df, specs, fv).collect()}
     assert lines == {1: "1 0:1:1 1:2:1", 2: "0", 3: "0"}
+
+
+def test_pmi_tokens_empty_cell_and_null_cond(spark):
+    from fieldcraft.operators import info as I
+    rows = [(1, 1, "a b"), (2, 1, "a"), (3, 2, "b"), (4, 2, ""), (5, None, "a")]
+    df = spark.createDataFrame(rows, "row_id long, c int, kw string")
+    got = {r["row_id"]: r for r in I.pmi_tokens(df, "c", "kw", bucket=False).collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert got[4]["new_inf_c_kw_max"] is None and got[5]["new_inf_c_kw_mintok"] is None
+    # row 1: p(a) = cc(1)=2 * b(a)=3 / ct(1,a)=2 / N=5 ; p(b) = 2 * 2 / 1 / 5
+    pa, pb = 2 * 3 / 2 / 5, 2 * 2 / 1 / 5
+    assert got[1]["new_inf_c_kw_max"] == pytest.approx(math.log1p(pa * pb))
+    assert got[1]["new_inf_c_kw_mean"] == pytest.approx(math.log1p(pa * pb) / 2)
+    assert got[1]["new_inf_c_kw_mintok"] == pytest.approx(math.log1p(min(pa, pb)))
