@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -39,7 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is a private folder under /tmp made.
+    Only when it is unset and the master is local (tests) is a private folder
+    under /tmp made; on a cluster that folder would differ from machine to
+    machine, so there the missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,24 +51,70 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="fieldcraft-ckpt-", dir="/tmp")
+        conf_dir = private_folder(sc.master)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def private_folder(master: str) -> str:
+    """A machine-local folder, for local masters only."""
+    if not master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name a "
+                           "folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="fieldcraft-ckpt-", dir="/tmp")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/fieldcraft-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def broadcast_if_small(df, rows: int, row_bytes: int = 64):
-    """``broadcast(df)`` when its measured row count times a per-row size
-    bound fits under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the
-    plain table (Spark shuffles it, or AQE broadcasts it from runtime size)."""
-    from pyspark.sql import functions as F
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts
+    the lineage, survives lost executors, and is read by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(df: DataFrame) -> None:
+    """Delete the files of a table made by ``materialize`` that nothing reads
+    any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if folder.getName().startswith("fieldcraft-"):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: off)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     m = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     raw = raw.strip().lower().rstrip("b")
-    limit = int(float(raw[:-1]) * m[raw[-1]]) if raw and raw[-1] in m else int(raw)
-    return F.broadcast(df) if 0 <= rows * row_bytes <= limit else df
+    return int(float(raw[:-1]) * m[raw[-1]]) if raw and raw[-1] in m else int(raw)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``, counted (one aggregate): the lengths of
+    string and binary values, 16 bytes for any other value and per row."""
+    sized = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))
+             else F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`"))))
+             if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.lit(16)
+             for f in df.schema.fields]
+    total = sum((c.cast("long") for c in sized), F.lit(16).cast("long"))
+    return int(df.agg(F.sum(total)).first()[0] or 0)
+
+
+def broadcast_if_small(df: DataFrame, rows: int | None = None, row_bytes: int = 64) -> DataFrame:
+    """``broadcast(df)`` when the measured size of its rows fits under
+    ``spark.sql.autoBroadcastJoinThreshold``; otherwise the plain table (Spark
+    shuffles it, or AQE broadcasts it from its run-time size). ``rows`` and
+    ``row_bytes`` skip the measuring of a table that is too large anyhow."""
+    limit = broadcast_limit(df.sparkSession)
+    if limit < 0 or (rows is not None and rows * 16 > limit):
+        return df
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
