@@ -38,6 +38,7 @@ from fieldcraft.llm.bpe import byte_characters
 from fieldcraft.session import materialize
 
 WINDOW, END_ID = 2048, 0
+TASK_ROWS = 50_000
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -192,21 +193,37 @@ def _fill(window: int):
     return run
 
 
+def class_edges(window: int) -> list[int]:
+    """Lower edges of the size classes: a half, a third, a quarter of the
+    window, then one class per halving."""
+    edges, at = [window // 2, window // 3], window // 4
+    while at:
+        edges.append(at)
+        at //= 2
+    return [*edges, 0]
+
+
+def _class_of(length: int, window: int) -> int:
+    return next(k for k, e in enumerate(class_edges(window)) if length > e)
+
+
 def _class(length, window: int):
-    """Size class of a piece: 1 above half a window, 2 above a third, 3 above
-    a quarter, then one class per halving."""
-    return (F.when(length * 2 > window, 1).when(length * 3 > window, 2).when(length * 4 > window, 3)
-            .otherwise(F.floor(F.log2(F.lit(float(window)) / length)) + 2).cast("int"))
+    """Number of the size class of a length column."""
+    out = F.lit(len(class_edges(window)) - 1)
+    for k, e in reversed(list(enumerate(class_edges(window)))):
+        out = F.when(length > e, k).otherwise(out)
+    return out
 
 
-def pack(pieces: DataFrame, window: int = WINDOW, partitions: int | None = None) -> DataFrame:
+def pack(pieces: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) -> DataFrame:
     """``pieces(row, length)`` with unique rows and 1 <= length <= window ->
-    ``(row, bin)``; a bin is named after one of its rows."""
+    ``(row, bin)``; a bin is named after one of its rows. ``task_rows``: rows
+    of a sorted partition, which decides how many there are."""
     spark = pieces.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = [pieces.filter(F.col("length") * 2 > window).select("row", "length", F.col("row").alias("bin"))]
     gaps = placed[0].select("bin", (window - F.col("length")).alias("gap")).filter("gap > 0")
     left = pieces.filter(F.col("length") * 2 <= window).select("row", "length")
+    room = gaps.count()
     while True:
         size = left.agg(F.count("*").alias("n"), F.min("length").alias("lo"), F.max("length").alias("hi")).first()
         if not size["n"]:
@@ -217,6 +234,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, partitions: int | None = None)
                  .select(F.lit(0).alias("kind"), F.col("bin").alias("id"),
                          F.when(F.col("k") < F.col("m"), F.lit(size["hi"]))
                          .otherwise(F.col("gap") - (F.col("m") - 1) * size["hi"]).cast("long").alias("size")))
+        n = -(-(size["n"] + room) // task_rows)
         rows = slots.unionByName(left.select(F.lit(1).alias("kind"), F.col("row").alias("id"),
                                              F.col("length").cast("long").alias("size")))
         order = [F.col("size").desc(), F.col("kind"), F.col("id")]
@@ -238,7 +256,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, partitions: int | None = None)
                             (F.col("top") - F.col("rank") + F.col("first")).alias("j")))
             free = over.filter("kind = 0").select(F.col("part").alias("q"), F.col("rank").alias("j"),
                                                   F.col("id").alias("bin"))
-            now.append(want.join(free, ["q", "j"]).select("row", "length", "bin"))
+            now.append(materialize(want.join(free, ["q", "j"]).select("row", "length", "bin"), "carried"))
             taken = table.groupBy("part").agg(F.max(F.col("first") + F.col("k")).alias("upto"))
             rest = rest.join(F.broadcast(taken), "part", "left").filter("upto IS NULL OR rank >= upto")
         for t in now:
@@ -248,14 +266,15 @@ def pack(pieces: DataFrame, window: int = WINDOW, partitions: int | None = None)
                 .groupBy("bin").agg(F.sum("gap").alias("gap")).filter("gap > 0"))
         gaps = materialize(gaps, "gaps")
         left = materialize(rest.select(F.col("id").alias("row"), F.col("size").alias("length")), "left")
-        largest = gaps.agg(F.max("gap")).first()[0] or 0
+        state = gaps.agg(F.max("gap").alias("hi"), F.count("*").alias("n")).first()
+        largest, room = state["hi"] or 0, state["n"]
         hopeless = left.filter(F.col("length") > largest)
-        top = hopeless.agg(F.max("length")).first()[0]
-        if top:
-            top_class = spark.range(1).select(_class(F.lit(top), window)).first()[0]
+        top = hopeless.agg(F.max("length").alias("length"), F.count("*").alias("n")).first()
+        if top["n"]:
+            top_class = _class_of(top["length"], window)
             new = hopeless.filter(_class(F.col("length"), window) == top_class)
             order = [F.col("length").desc(), F.col("row")]
-            opened = materialize(new.repartitionByRange(n, *order).sortWithinPartitions(*order)
+            opened = materialize(new.repartitionByRange(-(-top["n"] // task_rows), *order).sortWithinPartitions(*order)
                                  .mapInArrow(_fill(window), "row long, length long, bin long"), "opened")
             placed.append(opened)
             gaps = gaps.unionByName(opened.groupBy("bin").agg((window - F.sum("length")).alias("gap")).filter("gap > 0"))

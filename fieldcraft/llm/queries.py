@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +47,93 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     from fieldcraft.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), PATTERN)
+
+
+@register("op1_interleaved_shards")
+def op1(spark, sf_dir):
+    from fieldcraft.llm.sharding import interleave
+    return interleave(table(spark, sf_dir, "documents"))
+
+
+PROBE = "</s>[INST] ok [/INST]"
+
+
+@register("op6_chat_format", r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  sum(length(regexp_replace(text, '([<\[\\])', '\1\1', 'g'))
+      + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 END)::BIGINT AS formatted_chars,
+  (array_agg(role ORDER BY turn, role, text)[1] IN ('system', 'user')
+   AND array_agg(role ORDER BY turn, role, text)[-1] = 'assistant'
+   AND regexp_full_match(string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' ELSE 'a' END, ''
+                                    ORDER BY turn, role, text), 's?(ua)+')) AS valid
+FROM c GROUP BY conv_id""")
+def op6(spark, sf_dir):
+    from fieldcraft.llm.chat import conversation_digests, format_conversations
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(PROBE).alias("text"))
+    return conversation_digests(format_conversations(conv.unionByName(probe)))
+
+
+@register("op7_ngram_ratio_quality")
+def op7(spark, sf_dir):
+    from fieldcraft.llm.quality import judge
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op5_vantage_point_search", """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20""")
+def op5(spark, sf_dir):
+    from fieldcraft.llm.ann import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@register("op8_host_path_extraction")
+def op8(spark, sf_dir):
+    from fieldcraft.llm.html import main_text
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+@register("op9_string_kernel_language")
+def op9(spark, sf_dir):
+    from fieldcraft.llm.langid import predict
+    return predict(table(spark, sf_dir, "documents"))
+
+
+@register("op10_warc_round_trip", """
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+    sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h AS fh, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, url, payload_bytes,
+  array_to_string(list_transform(range(32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, (5 * (j // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (j % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p JOIN f ON h = fh""")
+def op10(spark, sf_dir):
+    from fieldcraft.llm.warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

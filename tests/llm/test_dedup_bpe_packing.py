@@ -188,7 +188,7 @@ def test_packing_odd_rows(spark):
                                    list(range(1, 300)) * 2, [2047, 1, 1, 1024, 1025]])
 def test_packing_sizes(spark, sizes):
     df = spark.createDataFrame(list(enumerate(sizes)), "row long, length long")
-    got = packing.pack(df, partitions=4).collect()
+    got = packing.pack(df, task_rows=97).collect()
     assert sorted(r.row for r in got) == list(range(len(sizes)))
     fill = {}
     for r in got:
