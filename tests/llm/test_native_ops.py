@@ -152,12 +152,14 @@ def test_quality_ratio(spark):
     one = {r.x: r.h % n for r in hashed} | {r.y: r.k % n for r in hashed}
     two = {(r.x, r.y): r.p % n for r in hashed}
     bag = lambda t: [one[w] for w in (t or "").split()] + [two[p] for p in zip((t or "").split(), (t or "").split()[1:])]
-    raw = Counter(g for t in texts for g in bag(t))
-    good = Counter(bag(texts[0]))
-    mass = prior * n
+    raw, good = Counter(g for t in texts for g in bag(t)), Counter(bag(texts[0]))
+    mass, every, target = prior * n, sum(raw.values()), sum(good.values())
     for i, t in enumerate(texts):
-        want = [math.log((good[g] + mass * raw[g] / sum(raw.values())) / ((sum(good.values()) + mass) * raw[g] / sum(raw.values())))
-                for g in bag(t)]
+        own = int(i == 0)
+        want = []
+        for g in bag(t):
+            p = (raw[g] - 1) / (every - 1)
+            want.append(math.log((max(good[g] - own, 0) + mass * p) / ((target - own + mass) * p)) if p else 0.0)
         assert got[i] == pytest.approx(sum(want) / len(want) if want else 0.0, abs=1e-9)
 
 
