@@ -55,7 +55,7 @@ def test_exact_search(spark, shard):
     r = np.random.default_rng(3)
     rows = [(i, [float(x) for x in r.integers(-2, 3, 6)]) for i in range(400)]
     rows += [(1000 + i, [1.0, 2.0, 0.0, 0.0, 0.0, 0.0]) for i in range(300)]
-    rows += [(2000, None), (2020, []), (2040, [0.0] * 6), (2060, [1.0, None, 0, 0, 0, 0.0]), (2080, [float("nan")] * 6),
+    rows += [(2000, None), (2020, []), (2040, [0.0] * 6), (2060, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2080, [float("nan")] * 6),
              (2100, [float("inf")] + [0.0] * 5), (None, [1.0] * 6), (2120, [1.0, 2.0, 3.0])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], VECTORS)
     assert as_lists(ann.nearest(df, shard_rows=shard, block_rows=9)) == {i: v for i, v in brute(rows, 20).items() if v}
