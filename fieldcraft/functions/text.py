@@ -30,8 +30,10 @@ def cell_tokens(cell, sep: str = " ", missing: str = MISSING_CELL) -> Column:
 
 
 def lenient_int(x) -> Column:
-    """``int(float(v))`` or null when the text is not a number."""
-    return _c(x).try_cast("double").cast("int")
+    """``int(float(v))`` (64-bit) or null when the text is not a number, not
+    finite, or outside the 64-bit range."""
+    d = _c(x).try_cast("double")
+    return F.when(~F.isnan(d), d).try_cast("bigint")
 
 
 def numeric_tokens(cell, sep: str = " ") -> Column:
@@ -50,9 +52,14 @@ def distinct_token_count(cell, sep: str = " ") -> Column:
     return F.size(F.array_distinct(tokens(cell, sep)))
 
 
-def join_keys(*cols, sep: str = "_") -> Column:
-    """Cross two or more columns into one string key; null shows as 'nan'."""
-    return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("nan")) for c in cols])
+def cross_key(*cols) -> Column:
+    """Cross columns into one unambiguous string key: every value carries its
+    length, and null differs from any text, so ('a_b', 'c') and ('a', 'b_c')
+    or null and 'nan' never share a key."""
+    def part(c) -> Column:
+        v = _c(c).cast("string")
+        return F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("~"))
+    return F.concat(*[part(c) for c in cols])
 
 
 def _regex_escape(s: str) -> str:

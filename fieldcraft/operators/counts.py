@@ -139,6 +139,10 @@ def label_encode(df: DataFrame, col: str, name: str | None = None,
 
 
 # ------------------------------------------------------------------ E02 / F01
+#: stands for a null in a crossed text key, so (null, 'x') and ('x', null) differ
+NULL_PART = "\x00"
+
+
 def cross_encode(df: DataFrame, pairs: Sequence[Sequence[str]], times: int = 100,
                  row_id: str = "row_id") -> DataFrame:
     """For each pair: key ``a_b`` (strings), values seen fewer than ``times``
@@ -155,7 +159,8 @@ def cross_encode(df: DataFrame, pairs: Sequence[Sequence[str]], times: int = 100
         return df
     names = [f"{a}_{b}" for a, b in todo]
     ent = F.array(*[F.struct(F.lit(f"{a}_{b}").alias("pair"),
-                             F.concat_ws("_", F.col(a).cast("string"), F.col(b).cast("string")).alias("v"))
+                             F.concat_ws("_", F.coalesce(F.col(a).cast("string"), F.lit(NULL_PART)),
+                                         F.coalesce(F.col(b).cast("string"), F.lit(NULL_PART))).alias("v"))
                     for a, b in todo])
     long = df.select(row_id, F.explode(ent).alias("_e")).select(row_id, "_e.pair", "_e.v")
     cnt = long.groupBy("pair", "v").agg(F.count(F.lit(1)).alias("_vc"))

@@ -26,17 +26,19 @@ def weights(emb: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding")
 
 def vec_id(value: Column, field_no: int, n: int, mult: int = 31) -> Column:
     """Deterministic row of the weights table for a (field, value):
-    ``pmod(value * mult + field_no, n)``."""
-    return F.pmod(value.cast("long") * F.lit(mult) + F.lit(field_no), F.lit(n))
+    ``(value * mult + field_no) mod n``, computed on ``value mod n`` so that no
+    64-bit value overflows the product. Null for a null value."""
+    return F.pmod(F.pmod(value.cast("long"), F.lit(n)) * F.lit(mult) + F.lit(field_no), F.lit(n))
 
 
 def lookup_fields(df: DataFrame, emb: DataFrame, fields: Sequence[str], n: int,
                   keep: Sequence[str] = ("row_id",)) -> DataFrame:
-    """One vector column ``v_<field>`` per single-valued field."""
+    """One vector column ``v_<field>`` per single-valued field; a null or
+    unknown value gives a null vector and keeps the row."""
     out = df.select(*keep, *fields)
     for i, f in enumerate(fields):
         w = emb.select(F.col("vec_id").alias(f"_id_{f}"), F.col("vec").alias(f"v_{f}"))
-        out = out.withColumn(f"_id_{f}", vec_id(F.col(f), i, n)).join(w, f"_id_{f}").drop(f"_id_{f}")
+        out = out.withColumn(f"_id_{f}", vec_id(F.col(f), i, n)).join(w, f"_id_{f}", "left").drop(f"_id_{f}")
     return out.select(*keep, *[f"v_{f}" for f in fields])
 
 

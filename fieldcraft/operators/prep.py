@@ -95,8 +95,10 @@ def positional_split(df: DataFrame, order: str, head_frac: float = 0.7,
 # ------------------------------------------------------------------ P10
 def mult_hash(c, seed: int) -> Column:
     """Deterministic 32-bit multiplicative hash of an integer id and a seed;
-    the same arithmetic is available in any SQL engine."""
-    return F.pmod(_c(c).cast("long") * F.lit(2654435761) + F.lit(seed), F.lit(4294967296))
+    the same arithmetic is available in any SQL engine. The id is reduced
+    modulo 2^31 first, so no 64-bit id overflows the product."""
+    low = F.pmod(_c(c).cast("long"), F.lit(2147483648))
+    return F.pmod(low * F.lit(2654435761) + F.lit(seed), F.lit(4294967296))
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
@@ -109,8 +111,9 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
     group are consecutive positions)."""
     group = list(group)
     pos = global_position(df, [*group, *order], "_gpos")
-    starts = pos.groupBy(*group).agg(F.min("_gpos").alias("_start"))
-    return (pos.join(starts, group)
+    starts = pos.groupBy(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group)]).agg(F.min("_gpos").alias("_start"))
+    same = [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]  # a null group is a group
+    return (pos.join(starts, same).drop(*[f"_k{i}" for i in range(len(group))])
                .withColumn(name, (F.col("_gpos") - F.col("_start")).cast("long"))
                .withColumnRenamed("_gpos", pos_name or "_gpos")
                .drop("_start", *([] if pos_name else ["_gpos"])))
@@ -122,8 +125,8 @@ def stratified_split(df: DataFrame, id_col: str, label: str = "label", test_frac
     go to 'test', the rest to 'train' (exact per-class proportions)."""
     h = df.withColumn("_h", mult_hash(id_col, seed))
     r = rank_within(h, [label], ["_h", id_col], "_r")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
-    r = r.join(sizes, label)
+    sizes = df.groupBy(F.col(label).alias("_kl")).agg(F.count(F.lit(1)).alias("_nl"))
+    r = r.join(sizes, F.col(label).eqNullSafe(F.col("_kl"))).drop("_kl")
     cut = F.ceil(F.col("_nl") * F.lit(test_frac))
     return r.withColumn(name, F.when(F.col("_r") < cut, "test").otherwise("train")) \
             .drop("_h", "_r", "_nl")

@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldcraft.functions.numeric import digamma
 from fieldcraft.functions.ordered import global_position
-from fieldcraft.functions.text import join_keys, tokens
+from fieldcraft.functions.text import cross_key, tokens
 
 ALL_FOLDS = -1
 
@@ -38,14 +37,15 @@ def _digamma_np(x):
             - 1.0 / (252.0 * y2 * y2 * y2)) - shift
 
 
-def _fpi_local(n, c, m, iters, eps, a, b):
+def _fpi(tries, hits, misses, iters, eps, a, b):
+    """Fixed-point steps over three marginals ``(value, weight)``."""
+    (n, wn), (c, wc), (d, wd) = tries, hits, misses
     for _ in range(iters):
-        den = float(np.sum(m * (_digamma_np(n + a + b) - _digamma_np(a + b))))
-        num_a = float(np.sum(m * (_digamma_np(c + a) - _digamma_np(a))))
-        num_b = float(np.sum(m * (_digamma_np(n - c + b) - _digamma_np(b))))
+        den = float(np.sum(wn * (_digamma_np(n + a + b) - _digamma_np(a + b))))
         if den == 0 or not math.isfinite(den):
             break
-        na, nb = a * num_a / den, b * num_b / den
+        na = a * float(np.sum(wc * (_digamma_np(c + a) - _digamma_np(a)))) / den
+        nb = b * float(np.sum(wd * (_digamma_np(d + b) - _digamma_np(b)))) / den
         if not (math.isfinite(na) and math.isfinite(nb)) or na <= 0 or nb <= 0:
             break
         if abs(na - a) < eps and abs(nb - b) < eps:
@@ -56,69 +56,39 @@ def _fpi_local(n, c, m, iters, eps, a, b):
 
 def beta_prior_fpi(hist: DataFrame, group_cols: Sequence[str] = (), n: str = "n", c: str = "c",
                    weight: str = "m", iters: int = 1000, eps: float = 1e-3,
-                   alpha0: float = 1.0, beta0: float = 1.0,
-                   max_local_rows: int = 100_000) -> DataFrame:
+                   alpha0: float = 1.0, beta0: float = 1.0) -> DataFrame:
     """Fit Beta(alpha, beta) to (tries n, successes c) by Minka's fixed-point
     iteration over a histogram ``(group..., n, c, m)``; ``m`` = number of keys
     with that (n, c). Stops per group when both parameters move less than
     ``eps`` (keeping the previous pair), after ``iters`` steps, or when a step
-    is not finite. Returns ``(group..., alpha, beta)``.
-
-    The histogram has one row per distinct (n, c) per group. When it is at
-    most ``max_local_rows`` rows it is iterated in numpy on the driver (one
-    bounded collect); otherwise every step is one Spark aggregation over the
-    cached histogram."""
-    spark = hist.sparkSession
+    is not finite. Returns ``(group..., alpha, beta)``, one row per group; a
+    null group is a group.
+
+    A step only needs how often each value of n, of c and of n - c occurs, so
+    the histogram is summed to these three marginals and every group is
+    iterated where its marginals are, all groups in parallel. Distinct counts
+    that sum to N rows number at most sqrt(2 N): a group's marginals stay a few
+    million values even for 10^12 rows."""
     gcols = list(group_cols)
-    h = hist.select(*gcols, F.col(n).cast("double").alias("n"), F.col(c).cast("double").alias("c"),
-                    F.col(weight).cast("double").alias("m"))
-    out_schema = T.StructType([f for f in h.schema.fields if f.name in gcols]
-                              + [T.StructField("alpha", T.DoubleType()),
-                                 T.StructField("beta", T.DoubleType())])
-    small = h.limit(max_local_rows + 1).count() <= max_local_rows
-    if small:
-        pdf = h.toPandas()
-        rows = []
-        groups = pdf.groupby(gcols, sort=True, dropna=False) if gcols else [((), pdf)]
-        for key, g in groups:
-            key = key if isinstance(key, tuple) else (key,)
-            a, b = _fpi_local(g["n"].to_numpy(), g["c"].to_numpy(), g["m"].to_numpy(),
-                              iters, eps, alpha0, beta0)
-            rows.append(tuple(key) + (float(a), float(b)))
-        return spark.createDataFrame(rows, out_schema)
-    # distributed path: the histogram is cached, parameters are one row per group
-    h = h.persist()
-    params = {(): (alpha0, beta0)} if not gcols else {
-        tuple(r): (alpha0, beta0) for r in h.select(*gcols).distinct().collect()}
-    done = set()
-    for _ in range(iters):
-        active = {k: v for k, v in params.items() if k not in done}
-        if not active:
-            break
-        p_rows = [k + v for k, v in active.items()]
-        p_df = spark.createDataFrame(p_rows, out_schema)
-        j = h.join(F.broadcast(p_df), gcols) if gcols else h.crossJoin(F.broadcast(p_df))
-        a, b, m_ = F.col("alpha"), F.col("beta"), F.col("m")
-        agg = (j.groupBy(*gcols, "alpha", "beta")
-                .agg(F.sum(m_ * (digamma(F.col("n") + a + b) - digamma(a + b))).alias("den"),
-                     F.sum(m_ * (digamma(F.col("c") + a) - digamma(a))).alias("na"),
-                     F.sum(m_ * (digamma(F.col("n") - F.col("c") + b) - digamma(b))).alias("nb"))
-                .collect())
-        for r in agg:
-            key = tuple(r[g] for g in gcols)
-            a0, b0 = r["alpha"], r["beta"]
-            den = r["den"]
-            if not den or not math.isfinite(den):
-                done.add(key)
-                continue
-            na, nb = a0 * r["na"] / den, b0 * r["nb"] / den
-            if not (math.isfinite(na) and math.isfinite(nb)) or na <= 0 or nb <= 0 or (
-                    abs(na - a0) < eps and abs(nb - b0) < eps):
-                done.add(key)
-                continue
-            params[key] = (na, nb)
-    h.unpersist()
-    return spark.createDataFrame([k + v for k, v in params.items()], out_schema)
+    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(gcols)] or [F.lit(0).alias("_g0")]
+    names = [f"_g{i}" for i in range(max(1, len(gcols)))]
+    count, hit = F.col(n).cast("double"), F.col(c).cast("double")
+    parts = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value"))
+                      for k, v in enumerate((count, hit, count - hit))])
+    marg = (hist.select(*keys, F.col(weight).cast("double").alias("m"), F.explode(parts).alias("e"))
+            .groupBy(*names, "e.kind", "e.value").agg(F.sum("m").alias("m")))
+    types = [marg.schema[x] for x in names]
+    schema = T.StructType([*types, T.StructField("alpha", T.DoubleType()), T.StructField("beta", T.DoubleType())])
+
+    def fit(key, pdf):
+        import pandas as pd
+        part = [pdf[pdf["kind"] == k] for k in range(3)]
+        a, b = _fpi(*[(p["value"].to_numpy(), p["m"].to_numpy()) for p in part], iters, eps, alpha0, beta0)
+        key = [None if k != k else k for k in key]
+        return pd.DataFrame([[*key, float(a), float(b)]], columns=[*names, "alpha", "beta"])
+
+    out = marg.groupBy(*names).applyInPandas(fit, schema)
+    return out.select(*[F.col(x).alias(g) for x, g in zip(names, gcols)], "alpha", "beta")
 
 
 def key_histogram(stats: DataFrame, group_cols: Sequence[str] = (), n: str = "n",
@@ -143,7 +113,7 @@ def smoothed_rate(train: DataFrame, target: DataFrame, keys: Sequence[str], name
     if fit_prior:
         pr = beta_prior_fpi(key_histogram(st, (), "_n", "_s"), (), n="_n", c="_s", iters=iters, eps=eps,
                             alpha0=alpha or 1.0, beta0=beta or 1.0).first()
-        alpha, beta = pr["alpha"], pr["beta"]
+        alpha, beta = (pr["alpha"], pr["beta"]) if pr else (alpha or 1.0, beta or 1.0)
     a, b = F.lit(float(alpha)), F.lit(float(beta))
     rate = (F.col("_s") + a) / (F.col("_n") + a + b)
     prior = a / (a + b)
@@ -154,16 +124,18 @@ def smoothed_rate(train: DataFrame, target: DataFrame, keys: Sequence[str], name
 
 # ---------------------------------------------------------------- T03
 def _stack_keys(df: DataFrame, pairs: Sequence[Sequence[str]], keep: Sequence[str]) -> DataFrame:
-    """Long form: one row per (input row, pair) with the crossed key string."""
-    entries = [F.struct(F.lit("_".join(p)).alias("pair"), join_keys(*p).alias("key")) for p in pairs]
+    """Long form: one row per (input row, pair) with the crossed key."""
+    entries = [F.struct(F.lit("_".join(p)).alias("pair"), cross_key(*p).alias("key")) for p in pairs]
     return df.select(*keep, F.explode(F.array(*entries)).alias("_e")) \
              .select(*keep, "_e.pair", "_e.key")
 
 
 def leave_fold_out_stats(long: DataFrame, group: Sequence[str], fold: str, is_train: Column,
                          label: str = "label") -> DataFrame:
-    """Per (group..., lk_fold): sums and counts over training rows outside the
-    fold; ``lk_fold = -1`` holds the all-train totals used for other rows."""
+    """Per (group..., lk_fold): sums ``s`` and counts ``n`` over training rows
+    outside the fold, and the totals ``ts``, ``tn``; ``lk_fold = -1`` holds the
+    all-train totals used for other rows. A key has a row for the folds that it
+    occurs in; outside any other fold lie its totals."""
     group = list(group)
     share = (long.filter(is_train)
                  .groupBy(*group, F.col(fold).alias("lk_fold"))
@@ -172,13 +144,32 @@ def leave_fold_out_stats(long: DataFrame, group: Sequence[str], fold: str, is_tr
     w = Window.partitionBy(*group)  # at most k+0 rows per key: bounded
     with_tot = share.withColumn("ts", F.sum("s").over(w)).withColumn("tn", F.sum("n").over(w))
     outside = with_tot.select(*group, "lk_fold", (F.col("ts") - F.col("s")).alias("s"),
-                              (F.col("tn") - F.col("n")).alias("n"))
+                              (F.col("tn") - F.col("n")).alias("n"), "ts", "tn")
     totals = with_tot.groupBy(*group).agg(F.first("ts").alias("s"), F.first("tn").alias("n")) \
                      .select(*group, F.lit(ALL_FOLDS).cast(share.schema["lk_fold"].dataType)
-                             .alias("lk_fold"), "s", "n")
+                             .alias("lk_fold"), "s", "n", F.col("s").alias("ts"), F.col("n").alias("tn"))
     return outside.unionByName(totals)
 
 
+def leave_fold_out_histogram(stats: DataFrame, by: Sequence[str] = ("pair",)) -> DataFrame:
+    """(by..., lk_fold, n, c, m) over *all* keys with rows outside the fold:
+    the histogram of the totals, for each fold corrected by the keys that
+    occur in it. ``stats`` is the output of ``leave_fold_out_stats``."""
+    by = list(by)
+    inside = stats.filter(F.col("lk_fold") != ALL_FOLDS)
+    every = (stats.filter(F.col("lk_fold") == ALL_FOLDS).groupBy(*by, "n", "s")
+             .agg(F.count(F.lit(1)).alias("m")))
+    folds = stats.select(*[F.col(b).alias(f"_{b}") for b in by], "lk_fold").distinct()  # pairs x folds
+    rows = every.join(F.broadcast(folds), [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
+    parts = [rows.select(*by, "lk_fold", "n", "s", "m"),
+             inside.select(*by, "lk_fold", "n", "s", F.lit(1).cast("long").alias("m")),
+             inside.select(*by, "lk_fold", F.col("tn").alias("n"), F.col("ts").alias("s"),
+                           F.lit(-1).cast("long").alias("m"))]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return (out.groupBy(*by, "lk_fold", "n", F.col("s").alias("c")).agg(F.sum("m").alias("m"))
+            .filter("n > 0 AND m > 0"))
+
+
 def oof_smoothed_rate(df: DataFrame, pairs: Sequence[Sequence[str]], keep: Sequence[str],
                       is_train: Column, fold: str = "fold", label: str = "label",
                       alpha: float = 1.0, beta: float = 1.0, fit_prior: bool = False,
@@ -193,20 +184,18 @@ def oof_smoothed_rate(df: DataFrame, pairs: Sequence[Sequence[str]], keep: Seque
     ``<a>_<b>_stas`` column per pair; keyed by the input rows (no join on
     non-unique ids)."""
     keep = list(keep)
-    base = df.select(*keep, *(set(sum(map(list, pairs), [])) - set(keep)),
-                     *[c for c in (fold, label) if c not in keep],
-                     is_train.alias("_train"))
+    used = [c for p in pairs for c in p]
+    base = df.select(*dict.fromkeys([*keep, *used, fold, label]), is_train.alias("_train"))
     long = _stack_keys(base, pairs, keep + [c for c in (fold, label) if c not in keep] + ["_train"])
     stats = leave_fold_out_stats(long, ["pair", "key"], fold, F.col("_train"), label)
     if fit_prior:
-        hist = key_histogram(stats.filter(F.col("n") > 0), ["pair", "lk_fold"], "n", "s")
-        pri = beta_prior_fpi(hist, ["pair", "lk_fold"], n="n", c="s", iters=iters, eps=eps,
+        pri = beta_prior_fpi(leave_fold_out_histogram(stats), ["pair", "lk_fold"], iters=iters, eps=eps,
                              alpha0=alpha, beta0=beta)
     else:
         pri = None
     lk = F.when(F.col("_train"), F.col(fold)).otherwise(F.lit(ALL_FOLDS))
     j = long.withColumn("lk_fold", lk.cast(stats.schema["lk_fold"].dataType)) \
-            .join(stats, ["pair", "key", "lk_fold"], "left")
+            .join(stats.drop("ts", "tn"), ["pair", "key", "lk_fold"], "left")
     if pri is not None:
         j = j.join(F.broadcast(pri), ["pair", "lk_fold"], "left")  # one row per (pair, fold)
         a = F.coalesce(F.col("alpha"), F.lit(alpha))
@@ -227,14 +216,14 @@ def oof_pos_neg(df: DataFrame, keys: Sequence[Sequence[str] | str], keep: Sequen
                 is_train: Column, fold: str = "fold", label: str = "label",
                 missing: int = -1) -> DataFrame:
     """Out-of-fold positive / negative counts per key (one or several keys,
-    each a column or a tuple of columns crossed as a struct-free string).
+    each a column or a tuple of columns crossed without ambiguity).
     Training rows count the other folds; other rows count all training rows;
     a key with no rows there gets ``missing`` for both. Output columns
     ``<key>_positive_num``, ``<key>_negative_num``."""
     keep = list(keep)
     pairs = [[k] if isinstance(k, str) else list(k) for k in keys]
-    cols = set(sum(pairs, [])) | {fold, label}
-    base = df.select(*keep, *(cols - set(keep)), is_train.alias("_train"))
+    used = [c for p in pairs for c in p]
+    base = df.select(*dict.fromkeys([*keep, *used, fold, label]), is_train.alias("_train"))
     extra = [c for c in (fold, label) if c not in keep]
     long = _stack_keys(base, pairs, keep + extra + ["_train"])
     stats = leave_fold_out_stats(long, ["pair", "key"], fold, F.col("_train"), label)
@@ -277,7 +266,7 @@ def token_noisy_or(df: DataFrame, cell: str, row_id: str, is_train: Column, keep
     if fit_prior:
         pr = beta_prior_fpi(key_histogram(st, (), "cnt", "pos"), (), n="cnt", c="pos", iters=iters, eps=eps,
                             alpha0=alpha, beta0=beta).first()
-        alpha, beta = pr["alpha"], pr["beta"]
+        alpha, beta = (pr["alpha"], pr["beta"]) if pr else (alpha, beta)
     a, b = F.lit(float(alpha)), F.lit(float(beta))
     factor = F.lit(1.0) - (F.col("pos") + a) / (F.col("cnt") + a + b)
     per_row = (toks.join(st, "tok")
@@ -390,6 +379,27 @@ def user_conversion_loo(df: DataFrame, keep: Sequence[str], is_train: Column, us
                     F.when(p + n > 0, p / (p + n)).otherwise(F.lit(-1.0)).alias("uid_convert"))
 
 
+def row_item_lists(df: DataFrame, keep: Sequence[str], is_train: Column, order: str = "row_id",
+                   user: str = "uid", item: str = "aid", label: str = "label") -> DataFrame:
+    """Per row: its user's positive and negative items from training rows, in
+    row order, space separated; a training row's own item leaves each list
+    once (its first occurrence there). Users without training rows get empty
+    lists. The lists are the feature: a row's cell is as long as its user's
+    history."""
+    lists = user_item_lists(df, is_train, order, user, item, label).select(
+        F.col(user).alias("_u"), "pos_aid", "neg_aid")
+    j = df.join(lists, F.col(user).eqNullSafe(F.col("_u")), "left")
+
+    def cell(name: str) -> Column:
+        have = F.split(F.when(F.col(name) != "", F.col(name)), " ")
+        at = F.array_position(have, F.col(item).cast("string")).cast("int")
+        rest = F.when(is_train & (at > 0), F.concat(
+            F.slice(have, F.lit(1), at - 1), F.slice(have, at + 1, F.size(have)))).otherwise(have)
+        return F.coalesce(F.array_join(rest, " "), F.lit("")).alias(name)
+
+    return j.select(*keep, cell("pos_aid"), cell("neg_aid"))
+
+
 def user_item_lists(df: DataFrame, is_train: Column, order: str = "row_id", user: str = "uid",
                     item: str = "aid", label: str = "label") -> DataFrame:
     """Per-user positive and negative item lists from training rows, in row

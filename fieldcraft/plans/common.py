@@ -43,21 +43,21 @@ def psi_sql(x: str) -> str:
             f" - 1.0/(252.0*{y}*{y}*{y}*{y}*{y}*{y}) - ({shift}))")
 
 
-def fpi_sql(hist: str, group: str, iters: int, eps: float, a0: float = 1.0,
-            b0: float = 1.0) -> tuple[str, str]:
-    """Unrolled fixed-point iterations as CTEs over ``hist(group, n, s, m)``.
-    Returns (cte_text, final_cte_name)."""
-    parts = [f"p0 AS (SELECT DISTINCT {group}, {a0}::DOUBLE AS a, {b0}::DOUBLE AS b, false AS done FROM {hist})"]
-    for i in range(1, iters + 1):
-        prev = f"p{i-1}"
-        den = f"sum(h.m*({psi_sql('h.n + p.a + p.b')} - {psi_sql('p.a + p.b')}))"
-        na = f"sum(h.m*({psi_sql('h.s + p.a')} - {psi_sql('p.a')}))"
-        nb = f"sum(h.m*({psi_sql('h.n - h.s + p.b')} - {psi_sql('p.b')}))"
-        parts.append(
-            f"s{i} AS (SELECT p.{group}, p.a, p.b, p.done, p.a*{na}/{den} AS na, p.b*{nb}/{den} AS nb "
-            f"FROM {prev} p JOIN {hist} h USING ({group}) GROUP BY p.{group}, p.a, p.b, p.done)")
-        brk = (f"(done OR na <= 0 OR nb <= 0 OR (abs(na - a) < {eps} AND abs(nb - b) < {eps}))")
-        parts.append(
-            f"p{i} AS (SELECT {group}, CASE WHEN {brk} THEN a ELSE na END AS a, "
-            f"CASE WHEN {brk} THEN b ELSE nb END AS b, {brk} AS done FROM s{i})")
-    return ",\n".join(parts), f"p{iters}"
+def fpi_sql(hist: str, group: str | None, iters: int = 1000, eps: float = 1e-3,
+            a0: float = 1.0, b0: float = 1.0) -> str:
+    """Subquery that iterates the fixed point over ``hist(group, n, s, m)`` until
+    it stops: columns ``group`` (if any), ``a``, ``b``."""
+    g = group or "0"
+    den = f"sum(h.m*({psi_sql('h.n + p.a + p.b')} - {psi_sql('p.a + p.b')}))"
+    na = f"sum(h.m*({psi_sql('h.s + p.a')} - {psi_sql('p.a')}))"
+    nb = f"sum(h.m*({psi_sql('h.n - h.s + p.b')} - {psi_sql('p.b')}))"
+    stop = (f"(na IS NULL OR nb IS NULL OR NOT isfinite(na) OR NOT isfinite(nb) OR na <= 0 OR nb <= 0 "
+            f"OR (abs(na - a) < {eps} AND abs(nb - b) < {eps}))")
+    return f"""(WITH RECURSIVE hh AS MATERIALIZED (SELECT {g} AS g, n, s, m FROM {hist}),
+p AS (
+  SELECT DISTINCT g, 0 AS it, {a0}::DOUBLE AS a, {b0}::DOUBLE AS b, false AS done FROM hh
+  UNION ALL
+  SELECT g, it + 1, CASE WHEN {stop} THEN a ELSE na END, CASE WHEN {stop} THEN b ELSE nb END, {stop}
+  FROM (SELECT p.g, p.it, p.a, p.b, p.a*{na}/nullif({den}, 0) AS na, p.b*{nb}/nullif({den}, 0) AS nb
+        FROM p JOIN hh h ON h.g = p.g WHERE NOT p.done AND p.it < {iters} GROUP BY p.g, p.it, p.a, p.b) x)
+SELECT g{f' AS {group}' if group else ''}, arg_max(a, it) AS a, arg_max(b, it) AS b FROM p GROUP BY g)"""

@@ -24,72 +24,102 @@ def _lfo_rows_sql(pairs):
     return f"""
 , k AS ({_key_union(pairs)}),
 st AS (SELECT pair, key, fold, sum(label) AS s, count(*) AS n FROM k WHERE split = 'train' GROUP BY ALL),
-r AS (SELECT k.row_id, k.split, k.label, k.pair,
+r AS (SELECT k.row_id, k.split, k.label, k.fold, k.pair,
         sum(CASE WHEN k.split <> 'train' OR st.fold <> k.fold THEN st.s END) AS s,
         sum(CASE WHEN k.split <> 'train' OR st.fold <> k.fold THEN st.n END) AS n
       FROM k LEFT JOIN st USING (pair, key) GROUP BY ALL)"""
 
 
 # ------------------------------------------------------------------ T01
-@register("smoothed_ctr", sql="""
-, st AS (SELECT campaignId || '_' || gender AS key, sum(label) AS s, count(*) AS n
-         FROM m WHERE split = 'train' GROUP BY 1)
+_T01_STATS = """
+, st AS (SELECT campaignId, gender, sum(label) AS s, count(*) AS n FROM m WHERE split = 'train' GROUP BY ALL)"""
+_T01_ROWS = """
 SELECT m.row_id, m.split,
-       round(round(100 * coalesce((st.s + 1.0) / (st.n + 2.0), 0.5), 8), 6) AS campaignId_gender_stas
-FROM m LEFT JOIN st ON st.key = m.campaignId || '_' || m.gender
+       round(round(100 * coalesce((st.s + {a}) / (st.n + {a} + {b}), {a} / ({a} + {b})), 8), {digits}) AS campaignId_gender_stas
+FROM m LEFT JOIN st USING (campaignId, gender){more}
 WHERE m.split <> 'train'
-""")
+"""
+#: iterated priors differ in their last digits between two engines
+FIT_DIGITS = 4
+
+
+def _smoothed(spark, d, fit: bool):
+    m = merged(spark, d)
+    out = T.smoothed_rate(m.filter(is_train()), m.filter(~is_train()).select(*KEEP, "campaignId", "gender"),
+                          ["campaignId", "gender"], "campaignId_gender_stas", fit_prior=fit)
+    return round_doubles(out.select(*KEEP, "campaignId_gender_stas"), FIT_DIGITS if fit else 6)
+
+
+@register("smoothed_ctr", sql=_T01_STATS + f"""
+, hist AS (SELECT n::DOUBLE AS n, s::DOUBLE AS s, count(*)::DOUBLE AS m FROM st GROUP BY ALL),
+pr AS (SELECT * FROM {fpi_sql("hist", None)})""" + _T01_ROWS.format(a="pr.a", b="pr.b", digits=FIT_DIGITS, more=", pr"))
 def smoothed_ctr(spark, d):
-    m = merged(spark, d).withColumn("campaignId_gender", F.concat_ws("_", "campaignId", "gender"))
-    out = T.smoothed_rate(m.filter(is_train()), m.filter(~is_train()).select(*KEEP, "campaignId_gender"),
-                          ["campaignId_gender"], "campaignId_gender_stas")
-    return round_doubles(out.select(*KEEP, "campaignId_gender_stas"))
+    return _smoothed(spark, d, True)
+
+
+@register("smoothed_ctr_fixed", sql=_T01_STATS + _T01_ROWS.format(a="1.0", b="1.0", digits=6, more=""))
+def smoothed_ctr_fixed(spark, d):
+    return _smoothed(spark, d, False)
 
 
 # ------------------------------------------------------------------ T03 (+P06, P11)
-def _oof_sql():
+def _oof_sql(fit: bool):
     sel = ",\n  ".join(
-        f"round(max(CASE WHEN pair = '{'_'.join(p)}' THEN v END), 6) AS {'_'.join(p)}_stas" for p in OOF_PAIRS)
-    return _lfo_rows_sql(OOF_PAIRS) + f"""
+        f"round(max(CASE WHEN pair = '{'_'.join(p)}' THEN v END), {FIT_DIGITS if fit else 6}) AS {'_'.join(p)}_stas" for p in OOF_PAIRS)
+    a, b, join, prior = "1.0", "1.0", "", ""
+    if fit:
+        a, b = "pr.a", "pr.b"
+        join = " JOIN pr ON pr.g = r.pair || '/' || (CASE WHEN r.split = 'train' THEN r.fold ELSE -1 END)"
+        prior = f""",
+tot AS (SELECT pair, key, sum(s) AS s, sum(n) AS n FROM st GROUP BY ALL),
+folds AS (SELECT DISTINCT pair, fold FROM st),
+lfo AS (SELECT tot.pair, f.fold AS lk, tot.n - coalesce(st.n, 0) AS n, tot.s - coalesce(st.s, 0) AS s
+        FROM tot JOIN folds f USING (pair) LEFT JOIN st ON st.pair = tot.pair AND st.key = tot.key AND st.fold = f.fold
+        UNION ALL SELECT pair, -1 AS lk, n, s FROM tot),
+hist AS (SELECT pair || '/' || lk AS g, n::DOUBLE AS n, s::DOUBLE AS s, count(*)::DOUBLE AS m FROM lfo WHERE n > 0 GROUP BY ALL),
+pr AS (SELECT * FROM {fpi_sql("hist", "g")})"""
+    return _lfo_rows_sql(OOF_PAIRS) + prior + f"""
 SELECT row_id, split, label,
   {sel}
-FROM (SELECT *, round(100 * CASE WHEN n > 0 THEN (s + 1.0) / (n + 2.0) ELSE 0.5 END, 8) AS v FROM r)
+FROM (SELECT r.*, round(100 * CASE WHEN n > 0 THEN (s + {a}) / (n + {a} + {b}) ELSE {a} / ({a} + {b}) END, 8) AS v
+      FROM r{join})
 GROUP BY row_id, split, label
 """
 
 
-@register("oof_smoothed_ctr", sql=_oof_sql())
+@register("oof_smoothed_ctr", sql=_oof_sql(True))
 def oof_smoothed_ctr(spark, d):
-    m = merged(spark, d)
-    out = T.oof_smoothed_rate(m, OOF_PAIRS, keep=["row_id", "split", "label"], is_train=is_train())
+    out = T.oof_smoothed_rate(merged(spark, d), OOF_PAIRS, keep=["row_id", "split", "label"],
+                              is_train=is_train(), fit_prior=True)
+    return round_doubles(out, FIT_DIGITS)
+
+
+@register("oof_smoothed_ctr_fixed", sql=_oof_sql(False))
+def oof_smoothed_ctr_fixed(spark, d):
+    out = T.oof_smoothed_rate(merged(spark, d), OOF_PAIRS, keep=["row_id", "split", "label"], is_train=is_train())
     return round_doubles(out)
 
 
 # ------------------------------------------------------------------ T02
-def _fpi_oracle():
-    ctes, last = fpi_sql("hist", "lk_fold", iters=5, eps=1e-3)
-    return f"""
-, st AS (SELECT campaignId || '_' || gender AS key, fold, sum(label) AS s, count(*) AS n
+@register("beta_prior_fpi", sql=f"""
+, st AS (SELECT campaignId, gender, fold, sum(label) AS s, count(*) AS n
          FROM m WHERE split = 'train' GROUP BY ALL),
-tot AS (SELECT key, sum(s) AS s, sum(n) AS n FROM st GROUP BY key),
-lfo AS (SELECT st.fold AS lk_fold, tot.n - st.n AS n, tot.s - st.s AS s FROM st JOIN tot USING (key)
+tot AS (SELECT campaignId, gender, sum(s) AS s, sum(n) AS n FROM st GROUP BY ALL),
+lfo AS (SELECT f.fold AS lk_fold, tot.n - coalesce(st.n, 0) AS n, tot.s - coalesce(st.s, 0) AS s
+        FROM tot CROSS JOIN (SELECT DISTINCT fold FROM st) f
+        LEFT JOIN st ON st.campaignId = tot.campaignId AND st.gender = tot.gender AND st.fold = f.fold
         UNION ALL SELECT -1 AS lk_fold, n, s FROM tot),
 hist AS (SELECT lk_fold, CAST(n AS DOUBLE) AS n, CAST(s AS DOUBLE) AS s, CAST(count(*) AS DOUBLE) AS m
-         FROM lfo WHERE n > 0 GROUP BY ALL),
-{ctes}
-SELECT lk_fold, round(a, 6) AS alpha, round(b, 6) AS beta FROM {last}
-"""
-
-
-@register("beta_prior_fpi", sql=_fpi_oracle())
+         FROM lfo WHERE n > 0 GROUP BY ALL)
+SELECT lk_fold, round(a, {FIT_DIGITS}) AS alpha, round(b, {FIT_DIGITS}) AS beta FROM {fpi_sql("hist", "lk_fold")}
+""")
 def beta_prior_fpi(spark, d):
     m = merged(spark, d)
     long = T._stack_keys(m.select("campaignId", "gender", "fold", "label", "split"),
                          [("campaignId", "gender")], ["fold", "label", "split"])
     stats = T.leave_fold_out_stats(long, ["pair", "key"], "fold", is_train())
-    hist = T.key_histogram(stats.filter(F.col("n") > 0), ["lk_fold"], "n", "s")
-    pri = T.beta_prior_fpi(hist, ["lk_fold"], n="n", c="s", iters=5, eps=1e-3)
-    return round_doubles(pri)
+    hist = T.leave_fold_out_histogram(stats)
+    return round_doubles(T.beta_prior_fpi(hist, ["lk_fold"]), FIT_DIGITS)
 
 
 # ------------------------------------------------------------------ T05
@@ -168,18 +198,33 @@ def count_of_counts(spark, d):
 
 
 # ------------------------------------------------------------------ T04
-@register("token_noisy_or", sql="""
+def _noisy_or_sql(fit: bool) -> str:
+    a, b, prior, more = "1.0", "1.0", "", ""
+    if fit:
+        a, b, more = "f.a", "f.b", ", f"
+        prior = f"""
+hist AS (SELECT cnt::DOUBLE AS n, pos::DOUBLE AS s, count(*)::DOUBLE AS m FROM st GROUP BY ALL),
+f AS (SELECT * FROM {fpi_sql("hist", None, eps=1e-8)}),"""
+    return f"""
 , tt AS (SELECT label, unnest(string_split(kw1, ' ')) AS tok FROM m WHERE split = 'train'),
-st AS (SELECT tok, count(*) AS cnt, sum(label) AS pos FROM tt GROUP BY tok HAVING sum(label) > 0),
+st AS (SELECT tok, count(*) AS cnt, sum(label) AS pos FROM tt GROUP BY tok HAVING sum(label) > 0),{prior}
 atk AS (SELECT row_id, unnest(string_split(kw1, ' ')) AS tok FROM m),
-pr AS (SELECT a_.row_id, sum(ln(1 - (st.pos + 1.0) / (st.cnt + 2.0))) AS ls FROM atk AS a_ JOIN st USING (tok) GROUP BY 1)
+pr AS (SELECT a_.row_id, sum(ln(1 - (st.pos + {a}) / (st.cnt + {a} + {b}))) AS ls FROM atk AS a_ JOIN st USING (tok){more} GROUP BY 1)
 SELECT m.row_id, m.split,
-       CASE WHEN m.kw1 = '-1' THEN -1.0 ELSE round(exp(coalesce(pr.ls, 0)), 6) END AS kw1_score
+       CASE WHEN m.kw1 = '-1' THEN -1.0 ELSE round(exp(coalesce(pr.ls, 0)), {FIT_DIGITS if fit else 6}) END AS kw1_score
 FROM m LEFT JOIN pr USING (row_id)
-""")
+"""
+
+
+@register("token_noisy_or", sql=_noisy_or_sql(True))
 def token_noisy_or(spark, d):
-    m = merged(spark, d)
-    return round_doubles(T.token_noisy_or(m, "kw1", "row_id", is_train(), KEEP))
+    out = T.token_noisy_or(merged(spark, d), "kw1", "row_id", is_train(), KEEP, fit_prior=True)
+    return round_doubles(out, FIT_DIGITS)
+
+
+@register("token_noisy_or_fixed", sql=_noisy_or_sql(False))
+def token_noisy_or_fixed(spark, d):
+    return round_doubles(T.token_noisy_or(merged(spark, d), "kw1", "row_id", is_train(), KEEP))
 
 
 # ------------------------------------------------------------------ T09 / A14
@@ -210,6 +255,23 @@ def user_pos_neg_lists(spark, d):
     return round_doubles(T.user_item_lists(log(spark, d), is_train()))
 
 
+@register("row_pos_neg_lists", sql="""
+, tr AS (SELECT * FROM log WHERE split = 'train'),
+n AS (SELECT l.row_id, l.split, t.label, t.aid, t.row_id AS o,
+             row_number() OVER (PARTITION BY l.row_id, t.label, t.aid ORDER BY t.row_id) AS k,
+             (l.split = 'train' AND t.aid = l.aid) AS own
+      FROM log l JOIN tr t USING (uid)),
+g AS (SELECT row_id,
+        string_agg(CAST(aid AS VARCHAR), ' ' ORDER BY o) FILTER (WHERE label = 1) AS pos_aid,
+        string_agg(CAST(aid AS VARCHAR), ' ' ORDER BY o) FILTER (WHERE label = 0) AS neg_aid
+      FROM n WHERE NOT (own AND k = 1) GROUP BY row_id)
+SELECT log.row_id, log.split, coalesce(pos_aid, '') AS pos_aid, coalesce(neg_aid, '') AS neg_aid
+FROM log LEFT JOIN g USING (row_id)
+""")
+def row_pos_neg_lists(spark, d):
+    return T.row_item_lists(log(spark, d), KEEP, is_train())
+
+
 # ------------------------------------------------------------------ T07 / F03 / E07
 CROSS_KEYS = [["uid"], ["advertiserId", "uid"], ["campaignId", "uid"], ["creativeSize", "uid"]]
 VOCAB_THRESHOLD = 100

@@ -33,7 +33,10 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
     parts = F.transform(F.split(F.trim("value"), r"\|"), lambda p: F.split(p, " "))
     entries = F.transform(parts, lambda a: F.struct(a[0].alias("key"),
                                                     F.slice(a, 2, F.size(a)).alias("vals")))
-    return raw.select(F.map_from_entries(entries).alias("profile"))
+    # a key that a line repeats keeps its last values
+    last = F.filter(entries, lambda e, i: ~F.exists(
+        F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+    return raw.select(F.map_from_entries(last).alias("profile"))
 
 
 def profile_long(profile: DataFrame, id_key: str = "uid") -> DataFrame:
@@ -70,7 +73,8 @@ def write_csv(df: DataFrame, path: str, float_format: str = "%.6f", label: str =
     for c in cols:
         dt = df.schema[c].dataType
         if isinstance(dt, (T.DoubleType, T.FloatType)):
-            out.append(F.format_string(float_format, F.col(c)).alias(c))
+            # a null stays an empty field
+            out.append(F.when(F.col(c).isNotNull(), F.format_string(float_format, F.col(c))).alias(c))
         else:
             out.append(F.col(c))
     df.select(*out).write.mode("overwrite").option("header", True).csv(path)
@@ -88,10 +92,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
 
 # ------------------------------------------------------------------ S10 / J05
 def file_order_columns() -> list[Column]:
-    """Columns giving the line order of a text/CSV scan: file name, split
-    start, then the record number inside the task (monotonic id)."""
-    return [F.col("_metadata.file_name").alias("_f"),
-            F.col("_metadata.file_block_start").alias("_b"),
+    """Columns giving the line order of a text/CSV scan: folder, number of the
+    part file, file name, split start, then the record number inside the task
+    (monotonic id). The part number is compared as a number, so part-100000
+    follows part-99999, and files of different folders do not interleave."""
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    number = F.regexp_extract(name, r"^\D*(\d{1,18})", 1).try_cast("bigint")
+    return [F.regexp_replace(path, "[^/]*$", "").alias("_d"), F.coalesce(number, F.lit(-1)).alias("_n"),
+            name.alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
             F.monotonically_increasing_id().alias("_m")]
 
 
@@ -100,7 +108,8 @@ def read_lines_with_position(spark: SparkSession, path: str, schema: T.StructTyp
     """Read a headerless CSV and number its lines 0..n-1 in file order."""
     df = spark.read.schema(schema).option("header", header).csv(path)
     df = df.select("*", *file_order_columns())
-    return global_position(df, ["_f", "_b", "_m"], name).drop("_f", "_b", "_m")
+    by = ["_d", "_n", "_f", "_b", "_m"]
+    return global_position(df, by, name).drop(*by)
 
 
 def attach_by_position(ids: DataFrame, id_order: str, values: DataFrame,
