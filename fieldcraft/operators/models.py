@@ -7,18 +7,23 @@ the positive-class probability is extracted with ``vector_to_array``.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import FMClassifier, GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcraft.functions.text import cell_tokens
+from fieldcraft.operators.evaluate import exact_auc
+from fieldcraft.session import materialize
+
+
+#: the default of 2^18 would silently drop the rarest tokens
+ALL_TOKENS = 2**31 - 1
 
 
 def feature_pipeline(categorical: Sequence[str], multi: Sequence[str], numeric: Sequence[str],
@@ -33,7 +38,9 @@ def feature_pipeline(categorical: Sequence[str], multi: Sequence[str], numeric:
         stages.append(OneHotEncoder(inputCol=f"{c}_ix", outputCol=f"{c}_oh", handleInvalid="keep"))
         cols.append(f"{c}_oh")
     for c in multi:
-        stages.append(CountVectorizer(inputCol=f"{c}_tok", outputCol=f"{c}_bow", minDF=min_df))
+        # no token above the threshold is left out, however many there are
+        stages.append(CountVectorizer(inputCol=f"{c}_tok", outputCol=f"{c}_bow", minDF=min_df,
+                                      vocabSize=ALL_TOKENS))
         cols.append(f"{c}_bow")
     stages.append(VectorAssembler(inputCols=cols + list(numeric), outputCol=out, handleInvalid="keep"))
     return stages
@@ -49,11 +56,17 @@ def positive_probability(pred: DataFrame, name: str = "score") -> DataFrame:
     return pred.withColumn(name, vector_to_array("probability")[1])
 
 
-def fit_score(train: DataFrame, score_on: DataFrame, stages: list, clf,
-              keep: Sequence[str]) -> tuple[PipelineModel, DataFrame]:
-    model = Pipeline(stages=stages + [clf]).fit(train)
-    pred = positive_probability(model.transform(score_on))
-    return model, pred.select(*keep, "score")
+def assemble(train: DataFrame, rows: DataFrame, stages: list, keep: Sequence[str]) -> DataFrame:
+    """``keep`` + ``features`` of ``rows``, fitted on ``train`` and written once,
+    so no optimiser step or search candidate recomputes joins or encodings."""
+    made = Pipeline(stages=stages).fit(train).transform(rows).select(*keep, "features")
+    return materialize(made, "features")
+
+
+def fit_score(train: DataFrame, score_on: DataFrame, clf, keep: Sequence[str]) -> tuple[Model, DataFrame]:
+    """Fit on assembled rows and score: ``keep`` + ``score``."""
+    model = clf.fit(train)
+    return model, positive_probability(model.transform(score_on)).select(*keep, "score")
 
 
 def logistic(label: str = "label", weight: str | None = "w", **kw) -> LogisticRegression:
@@ -85,21 +98,40 @@ def gbt(max_iter: int = 300, step: float = 0.05, subsample: float = 0.7, col_sam
     return GBTClassifier(**kw)
 
 
-def search(train: DataFrame, stages: list, clf, grid: dict, label: str = "label",
-           train_ratio: float = 0.8, parallelism: int = 4, seed: int = 2018) -> DataFrame:
-    """Train/validation split search over a parameter grid; returns one row
-    per candidate with its validation AUC."""
-    pb = ParamGridBuilder()
-    for p, vals in grid.items():
-        pb = pb.addGrid(getattr(clf, p), list(vals))
-    maps = pb.build()
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
-    tvs = TrainValidationSplit(estimator=Pipeline(stages=stages + [clf]), estimatorParamMaps=maps,
-                               evaluator=ev, trainRatio=train_ratio, parallelism=parallelism, seed=seed)
-    fitted = tvs.fit(train)
-    rows = []
-    for pm, metric in zip(maps, fitted.validationMetrics):
-        rows.append(("; ".join(f"{k.name}={v}" for k, v in sorted(pm.items(), key=lambda kv: kv[0].name)),
-                     float(metric)))
-    return train.sparkSession.createDataFrame(rows, "params string, auc double")
+#: fixed values of the search space: trees, step, row share, rows per leaf, leaves
+SPACE = {
+    "trees": [1000 * k + 1000 for k in range(10)],
+    "step": [round(0.01 * k + 0.005, 3) for k in range(10)],
+    "subsample": [round(0.1 * k + 0.7, 1) for k in range(4)],
+    "min_instances": [10 * k + 5 for k in range(10)],
+    "leaves": [21, 31],
+}
+
+
+def candidates(space: dict[str, list], evals: int = 4, seed: int = 2018) -> list[dict]:
+    """``evals`` distinct draws from the space."""
+    r, out = random.Random(seed), []
+    while len(out) < evals:
+        c = {k: r.choice(v) for k, v in space.items()}
+        if c not in out:
+            out.append(c)
+    return out
+
+
+def search(rows: DataFrame, train: str = "is_train", valid: str = "is_valid", label: str = "label",
+           space: dict[str, list] | None = None, evals: int = 4, seed: int = 2018) -> DataFrame:
+    """Fit one booster per draw on the assembled training rows, stopping early on
+    the validation rows; one row per draw: its parameters, the number of trees
+    kept and the exact AUC on training and validation rows. ``leaves`` l becomes
+    depth ceil(log2(l))."""
+    out = []
+    fit_on = rows.filter(F.col(train) | F.col(valid))
+    for i, c in enumerate(candidates(space or SPACE, evals, seed)):
+        clf = gbt(max_iter=c["trees"], step=c["step"], subsample=c["subsample"],
+                  min_instances=c["min_instances"], max_depth=(c["leaves"] - 1).bit_length(),
+                  validation_col=valid, label=label, seed=seed)
+        model, pred = fit_score(fit_on, fit_on, clf, [train, valid, label])
+        auc = {r[train]: r["auc"] for r in exact_auc(pred, label=label, group=[train]).collect()}
+        out.append((i, "; ".join(f"{k}={v}" for k, v in c.items()), model.getNumTrees, auc.get(True), auc.get(False)))
+    return rows.sparkSession.createDataFrame(
+        out, "candidate int, params string, trees int, train_auc double, auc double")
