@@ -101,6 +101,18 @@ def uid_aid_stats(parts: Sequence[DataFrame], ad: DataFrame, user: str = "uid",
     return df.join(u, user, "left").join(a, item, "left").join(ad_stat, item, "left")
 
 
+# ------------------------------------------------------------------ A16
+def summary_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, n, mean, std, min, max)`` of numeric columns, nulls left
+    out, in one aggregation."""
+    one = df.agg(*[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"),
+                            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c)
+                   for c in cols])
+    row = lambda c: F.struct(F.lit(c).alias("column"),
+                             *[F.col(f"{c}.{x}") for x in ("n", "mean", "std", "min", "max")])
+    return one.select(F.inline(F.array(*[row(c) for c in cols])))
+
+
 # ------------------------------------------------------------------ P08 / A19
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """(value, count) sorted by count descending."""

@@ -11,7 +11,7 @@ only within that row (bounded by its own token count).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +31,47 @@ def vec_id(value: Column, field_no: int, n: int, mult: int = 31) -> Column:
     return F.pmod(F.pmod(value.cast("long"), F.lit(n)) * F.lit(mult) + F.lit(field_no), F.lit(n))
 
 
-def lookup_fields(df: DataFrame, emb: DataFrame, fields: Sequence[str], n: int,
-                  keep: Sequence[str] = ("row_id",)) -> DataFrame:
-    """One vector column ``v_<field>`` per single-valued field; a null or
-    unknown value gives a null vector and keeps the row."""
-    out = df.select(*keep, *fields)
-    for i, f in enumerate(fields):
-        w = emb.select(F.col("vec_id").alias(f"_id_{f}"), F.col("vec").alias(f"v_{f}"))
-        out = out.withColumn(f"_id_{f}", vec_id(F.col(f), i, n)).join(w, f"_id_{f}", "left").drop(f"_id_{f}")
-    return out.select(*keep, *[f"v_{f}" for f in fields])
+#: how a (field, value) finds its row of the weights table
+Index = Callable[[Column, int], Column]
+
+
+def hashed(n: int, mult: int = 31) -> Index:
+    """Rows by :func:`vec_id`; fields share the table."""
+    return lambda value, field_no: vec_id(value, field_no, n, mult)
+
+
+def _lookup_long(df: DataFrame, emb: DataFrame, slots: Sequence[tuple[str, int]], index: Index | None,
+                 vocab: DataFrame | None, keep: Sequence[str]) -> DataFrame:
+    """``keep + (_at, vec)``: one row per (row, slot), a slot being a column and
+    the number that picks its row of the weights table; ``vec`` is null for null
+    or unknown values. One join with the weights whatever the number of slots
+    (one more with ``vocab(field, value, idx)``). Rows are partitioned on the
+    kept columns first, so a broadcast lookup needs no later exchange."""
+    def entry(at: int, col: str, no: int) -> Column:
+        value = F.col(col)
+        if vocab is not None:
+            return F.struct(F.lit(at).alias("_at"), F.lit(col).alias("field"), value.cast("string").alias("value"))
+        return F.struct(F.lit(at).alias("_at"), index(value, no).alias("vec_id"))
+
+    cols = [c for c in dict.fromkeys(c for c, _ in slots) if c not in keep]
+    long = (df.select(*keep, *cols).repartition(*keep)
+            .select(*keep, F.explode(F.array(*[entry(i, c, no) for i, (c, no) in enumerate(slots)])).alias("_e"))
+            .select(*keep, "_e.*"))
+    if vocab is not None:
+        v = vocab.select("field", F.col("value").cast("string").alias("value"), F.col("idx").cast("long").alias("vec_id"))
+        long = long.join(v, ["field", "value"], "left")
+    return long.join(emb.select("vec_id", "vec"), "vec_id", "left").select(*keep, "_at", "vec")
+
+
+def lookup_fields(df: DataFrame, emb: DataFrame, fields: Sequence[str], n: int | None = None,
+                  keep: Sequence[str] = ("row_id",), vocab: DataFrame | None = None) -> DataFrame:
+    """One vector column ``v_<field>`` per single-valued field, found by hash
+    (``n`` rows of weights) or by the index of a vocabulary ``vocab(field,
+    value, idx)``. A null or unknown value gives a null vector and keeps the
+    row; ``keep`` must identify a row."""
+    long = _lookup_long(df, emb, [(f, i) for i, f in enumerate(fields)], hashed(n) if n else None, vocab, keep)
+    return long.groupBy(*keep).agg(*[F.max_by("vec", F.when(F.col("_at") == i, 1)).alias(f"v_{f}")
+                                     for i, f in enumerate(fields)])
 
 
 # ------------------------------------------------------------------ vector helpers
@@ -71,9 +103,11 @@ def vsum_many(vs: Sequence[Column]) -> Column:
 
 
 def summarize(v: Column, prefix: str = "") -> list[Column]:
-    """(sum of elements, sum of squares) of a vector."""
-    return [F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x).alias(f"{prefix}vsum"),
-            F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x).alias(f"{prefix}vsq")]
+    """Sum of the elements, of their squares, and of each element times its
+    1-based position, which tells reordered or transposed vectors apart."""
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda acc, y: acc + y)
+    return [total(v).alias(f"{prefix}vsum"), total(vmul(v, v)).alias(f"{prefix}vsq"),
+            total(F.transform(v, lambda x, i: x * (i + 1))).alias(f"{prefix}vpos")]
 
 
 # ------------------------------------------------------------------ N01
@@ -113,6 +147,11 @@ def fm_second_order(vecs: Sequence[Column]) -> Column:
     return F.zip_with(s, q, lambda a, b: F.lit(0.5) * (a * a - b))
 
 
+def fm_first_order(weights: Sequence[Column]) -> Column:
+    """Sum of the one-dimensional weights of the fields; a missing one adds 0."""
+    return sum((F.coalesce(w, F.lit(0.0)) for w in weights), F.lit(0.0))
+
+
 # ------------------------------------------------------------------ N03 / N04 / N07
 def pairs(fields: Sequence[str], include_self: bool = False) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(fields) for j, b in enumerate(fields)
@@ -144,34 +183,50 @@ def pairwise_long(wide: DataFrame, fields: Sequence[str], op, keep: Sequence[str
 
 # ------------------------------------------------------------------ N05
 def ffm_interaction(df: DataFrame, emb: DataFrame, fields: Sequence[str], n: int,
-                    keep: Sequence[str] = ("row_id",), include_self: bool = False) -> DataFrame:
+                    keep: Sequence[str] = ("row_id",), include_self: bool = False,
+                    per_field: bool = False) -> DataFrame:
     """Field-aware interaction: field i's value has one vector per target
-    field k (row ``pmod(value*31 + i*F + k, n)`` of the weights table); the
-    output sums ``v[i->k] * v[k->i]`` over pairs i<k (i<=k with
-    ``include_self``). Output ``keep + (ffm)``."""
+    field k (row ``vec_id(value, i*F + k)`` of the weights table); the output
+    sums ``v[i->k] * v[k->i]`` over pairs i<k (i<=k with ``include_self``).
+    Output ``keep + (ffm)``; with ``per_field`` one vector ``ffm_<field>`` per
+    field, the sum over that field's pairs. A null value adds nothing and
+    keeps the row. One join with the weights for any number of fields; a row's
+    F * F vectors are the only ones brought together."""
     nf = len(fields)
-    out = df.select(*keep, *fields)
-    for i, f in enumerate(fields):
-        for k in range(nf):
-            w = emb.select(F.col("vec_id").alias(f"_id_{i}_{k}"), F.col("vec").alias(f"w_{i}_{k}"))
-            out = out.withColumn(f"_id_{i}_{k}", vec_id(F.col(f), i * nf + k, n)).join(w, f"_id_{i}_{k}") \
-                     .drop(f"_id_{i}_{k}")
-    terms = [vmul(F.col(f"w_{i}_{k}"), F.col(f"w_{k}_{i}"))
-             for i in range(nf) for k in range(nf) if (k > i or (include_self and k == i))]
-    return out.select(*keep, vsum_many(terms).alias("ffm"))
+    used = [(i, k) for i in range(nf) for k in range(nf) if include_self or i != k]
+    long = _lookup_long(df, emb, [(fields[i], i * nf + k) for i, k in used], hashed(n), None, keep)
+    rows = long.groupBy(*keep).agg(F.map_from_entries(F.collect_list(F.struct("_at", "vec"))).alias("_v"))
+    zero = F.array_repeat(F.lit(0.0), len(emb.first()["vec"]))
+    at = {p: i for i, p in enumerate(used)}
+    vec = lambda i, k: F.try_element_at("_v", F.lit(at[i, k]))
+    term = lambda i, k: F.coalesce(vmul(vec(i, k), vec(k, i)), zero)
+    pair = [(i, k) for i in range(nf) for k in range(i if include_self else i + 1, nf)]
+    if not per_field:
+        return rows.select(*keep, vsum_many([zero, *[term(i, k) for i, k in pair]]).alias("ffm"))
+    return rows.select(*keep, *[vsum_many([zero, *[term(*p) for p in pair if j in p]]).alias(f"ffm_{f}")
+                                for j, f in enumerate(fields)])
 
 
 # ------------------------------------------------------------------ N06
+def linear_scorer(weights: Sequence[float], bias: float = 0.0) -> Callable[[Column, Column], Column]:
+    """Scorer ``w . [q, k, q - k, q * k] + bias`` for :func:`attention_pool`."""
+    def score(q: Column, k: Column) -> Column:
+        parts = F.concat(q, k, vsub(q, k), vmul(q, k))
+        return vdot(parts, F.array(*[F.lit(float(w)) for w in weights])) + F.lit(float(bias))
+    return score
+
+
 def attention_pool(df: DataFrame, emb: DataFrame, query_field: str, cell: str, n: int,
                    row_id: str = "row_id", query_no: int = 0, key_no: int = 1,
-                   missing: str = "-1") -> DataFrame:
+                   missing: str = "-1", scorer: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Target attention: the query field's vector scores each token vector of
-    the multi-valued cell by ``q.k / sqrt(dim)``; softmax over the row's
+    the multi-valued cell by ``scorer(q, k)`` (default ``q.k / sqrt(dim)``);
+    softmax over the row's
     tokens (padding slots are masked out, so they get no weight); output the
     weighted sum of token vectors, zeros for an empty cell."""
     dim = len(emb.first()["vec"])
     zero = F.array_repeat(F.lit(0.0), dim)
-    scale = 1.0 / math.sqrt(dim)
+    score = scorer or (lambda a, b: vdot(a, b) * F.lit(1.0 / math.sqrt(dim)))
     q = emb.select(F.col("vec_id").alias("_qid"), F.col("vec").alias("_q"))
     # as in mean_pool: rows partitioned on the row id before the explode; the
     # query vector rides along with the row's tokens, so each score is
@@ -182,7 +237,7 @@ def attention_pool(df: DataFrame, emb: DataFrame, query_field: str, cell: str, n
             .join(q, "_qid", "left")
             .withColumn("vec_id", vec_id(F.col("_t").try_cast("long"), key_no, n))
             .join(emb, "vec_id", "left")
-            .select(row_id, "vec", (vdot(F.col("_q"), F.col("vec")) * F.lit(scale)).alias("_sc")))
+            .select(row_id, "vec", score(F.col("_q"), F.col("vec")).alias("_sc")))
     g = ex.groupBy(row_id).agg(F.max("_sc").alias("_mx"),
                                F.collect_list(F.when(F.col("_sc").isNotNull(), F.struct("_sc", "vec"))).alias("_kv"))
     # one pass over the row's tokens: running (sum of weights, weighted sum)

@@ -94,12 +94,11 @@ def pair_token_max(df: DataFrame, left: str, right: str, row_id: str, keep: Sequ
     keep = list(keep)
     pairs = F.flatten(F.transform(tokens(left, left_sep), lambda a: F.transform(
         tokens(right, right_sep), lambda b: F.concat(a, F.lit("|"), b))))
-    ex = df.select(*keep, F.explode(pairs).alias("pair"))
-    cnt = ex.groupBy("pair").agg(F.count(F.lit(1)).alias("_c"))
+    cnt = df.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("_c"))
     name = f"{left}_{right}_pair_max"
-    # a max needs no per-row dedupe: join the pair counts and take the max
-    per_row = ex.join(cnt, "pair").groupBy(*keep).agg(F.max("_c").alias(name))
-    return per_row
+    # the maximum needs every distinct pair of a row once
+    ex = df.select(*keep, F.explode(F.array_distinct(pairs)).alias("pair"))
+    return ex.join(cnt, "pair").groupBy(*keep).agg(F.max("_c").alias(name))
 
 
 def pair_count_histogram(df: DataFrame, left: str, right: str, left_sep: str = " ",

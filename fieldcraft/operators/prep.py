@@ -134,8 +134,9 @@ def stratified_split(df: DataFrame, id_col: str, label: str = "label", test_frac
 
 # ------------------------------------------------------------------ P11 / P12
 def hash_fold(id_col, k: int, seed: int = 2018) -> Column:
-    """Random-like fold from a hash of the row id (stable across reruns)."""
-    return F.pmod(F.xxhash64(_c(id_col), F.lit(seed)), F.lit(k))
+    """Random-like fold from the high bits of a hash of the row id (stable
+    across reruns, and the same arithmetic in any SQL engine)."""
+    return F.floor(mult_hash(id_col, seed) * F.lit(k) / F.lit(4294967296)).cast("int")
 
 
 def mod_fold(id_col, k: int) -> Column:

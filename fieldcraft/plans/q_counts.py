@@ -216,14 +216,44 @@ def pair_key(spark, d):
 # ------------------------------------------------------------------ W06
 @register("pair_token_max", sql="""
 , p AS (SELECT row_id, unnest(string_split(kw1, ' ')) AS x1, adkw FROM m),
-p2 AS (SELECT row_id, x1, unnest(string_split(adkw, ',')) AS x2 FROM p),
+p2 AS (SELECT row_id, x1, unnest(string_split(adkw, ' ')) AS x2 FROM p),
 pp AS (SELECT row_id, x1 || '|' || x2 AS pair FROM p2),
 c AS (SELECT pair, count(*) AS n FROM pp GROUP BY pair)
 SELECT row_id, max(n) AS kw1_adkw_pair_max FROM pp JOIN c USING (pair) GROUP BY row_id
 """)
 def pair_token_max(spark, d):
     m = merged(spark, d).select("row_id", "kw1", "adkw")
-    return O.pair_token_max(m, "kw1", "adkw", "row_id", ["row_id"])
+    return O.pair_token_max(m, "kw1", "adkw", "row_id", ["row_id"], right_sep=" ")
+
+
+@register("pair_count_histogram", sql="""
+, p AS (SELECT unnest(string_split(kw1, ' ')) AS x1, adkw FROM m),
+pp AS (SELECT x1 || '|' || unnest(string_split(adkw, ' ')) AS pair FROM p),
+c AS (SELECT pair, count(*) AS pair_count FROM pp GROUP BY pair)
+SELECT pair_count, count(*) AS n_pairs FROM c GROUP BY pair_count
+""")
+def pair_count_histogram(spark, d):
+    return O.pair_count_histogram(merged(spark, d).select("kw1", "adkw"), "kw1", "adkw", right_sep=" ")
+
+
+# ------------------------------------------------------------------ A16 / A19
+SUMMARY = ["label", "creativeSize", "lbs", "ability"]
+
+
+@register("summary_table", sql=", t AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS x FROM m" for c in SUMMARY) + """)
+SELECT "column", count(x) AS n, round(avg(x), 6) AS mean, round(stddev(x), 6) AS std, min(x) AS min, max(x) AS max
+FROM t GROUP BY 1
+""")
+def summary_table(spark, d):
+    return round_doubles(C.summary_table(merged(spark, d), SUMMARY))
+
+
+@register("value_frequency", sql="""
+SELECT campaignId, count(*) AS count FROM m GROUP BY campaignId
+""")
+def value_frequency(spark, d):
+    return C.value_counts(merged(spark, d), "campaignId")
 
 
 # ------------------------------------------------------------------ F04 / F06 / F07

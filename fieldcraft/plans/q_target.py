@@ -185,6 +185,43 @@ def contig_fold_rate(spark, d):
                                                  "row_id", KEEP, k=5, mode="rate"))
 
 
+# the last tenth of the training rows is scored from the head only
+_HOLD = ("trf AS (SELECT tr.*, CASE WHEN pos >= ntr - ntr // 10 THEN -1 ELSE least(pos // ((ntr - ntr // 10) // 5), 4) END AS cf"
+         " FROM tr, nn),")
+
+
+@register("contig_fold_holdout", sql=_contig_sql(
+    "CAST(max(CASE WHEN n > 0 THEN s + 1 ELSE 0 END) AS BIGINT) AS kw1_pos_max").replace(
+    "trf AS (SELECT tr.*, least(pos // iv, 4) AS cf FROM tr, nn),", _HOLD).replace(
+    "sh AS (SELECT tok, cf, count(*) AS n, sum(label) AS s FROM tt GROUP BY ALL)",
+    "sh AS (SELECT tok, cf, count(*) AS n, sum(label) AS s FROM tt WHERE cf >= 0 GROUP BY ALL)"))
+def contig_fold_holdout(spark, d):
+    m = merged(spark, d).select("row_id", "split", "kw1", "label")
+    train = m.filter(is_train())
+    return T.contig_fold_token_max(train, m.filter(~is_train()), "kw1", "row_id", KEEP, k=5, mode="pos",
+                                   holdout=train.count() // 10)
+
+
+# ------------------------------------------------------------------ P11
+_FOLD = "CAST(floor((((row_id % 2147483648) * 2654435761 + 2018) % 4294967296) * 5 / 4294967296.0) AS INT)"
+
+
+@register("oof_pos_neg_random", sql=f"""
+, m2 AS (SELECT row_id, split, label, uid, {_FOLD} AS fold FROM m),
+st AS (SELECT uid, fold, sum(label) AS s, count(*) AS n FROM m2 WHERE split = 'train' GROUP BY ALL),
+r AS (SELECT m2.row_id, m2.split, m2.fold,
+        sum(CASE WHEN m2.split <> 'train' OR st.fold <> m2.fold THEN st.s END) AS s,
+        sum(CASE WHEN m2.split <> 'train' OR st.fold <> m2.fold THEN st.n END) AS n
+      FROM m2 LEFT JOIN st USING (uid) GROUP BY ALL)
+SELECT row_id, split, fold, CAST(CASE WHEN n > 0 THEN s ELSE -1 END AS BIGINT) AS uid_positive_num,
+       CAST(CASE WHEN n > 0 THEN n - s ELSE -1 END AS BIGINT) AS uid_negative_num FROM r
+""")
+def oof_pos_neg_random(spark, d):
+    from fieldcraft.operators.prep import hash_fold
+    m = merged(spark, d).withColumn("fold", hash_fold("row_id", 5))
+    return T.oof_pos_neg(m, ["uid"], keep=["row_id", "split", "fold"], is_train=is_train())
+
+
 # ------------------------------------------------------------------ A12
 @register("count_of_counts", sql="""
 , tt AS (SELECT label, unnest(string_split(kw1, ' ')) AS tok FROM m WHERE split = 'train'),

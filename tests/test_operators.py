@@ -261,3 +261,73 @@ def test_pmi_tokens_empty_cell_and_null_cond(spark):
     assert got[1]["new_inf_c_kw_max"] == pytest.approx(math.log1p(pa * pb))
     assert got[1]["new_inf_c_kw_mean"] == pytest.approx(math.log1p(pa * pb) / 2)
     assert got[1]["new_inf_c_kw_mintok"] == pytest.approx(math.log1p(min(pa, pb)))
+
+
+def test_pairwise_vectors_element_by_element(spark):
+    from fieldcraft.operators import embed as N
+    df = spark.createDataFrame([([1.0, 2.0], [3.0, 5.0])], "a array<double>, b array<double>")
+    got = df.select(N.hadamard(F.col("a"), F.col("b")), N.outer(F.col("a"), F.col("b")),
+                    N.pair_diff(F.col("a"), F.col("b")), N.fm_second_order([F.col("a"), F.col("b")])).first()
+    assert [list(v) for v in got] == [[3.0, 10.0], [3.0, 5.0, 6.0, 10.0], [1.0, 2.0, -2.0, -3.0, 3.0, 5.0], [3.0, 10.0]]
+    s = df.select(*N.summarize(F.col("b"))).first()
+    assert (s.vsum, s.vsq, s.vpos) == (8.0, 34.0, 13.0)
+
+
+def test_ffm_by_field_and_with_nulls(spark):
+    from fieldcraft.operators import embed as N
+    emb = _emb4(spark)
+    table = {r["vec_id"]: r["vec"] for r in emb.collect()}
+    fields, rows = ["a", "b", "c"], [(1, 1, 2, 3), (2, 5, None, 7)]
+    df = spark.createDataFrame(rows, "row_id long, a long, b long, c long")
+
+    def vec(value, slot):
+        return None if value is None else table[(value % 4 * 31 + slot) % 4]
+
+    for self_pairs in (False, True):
+        whole = {r["row_id"]: r["ffm"] for r in N.ffm_interaction(df, emb, fields, 4, include_self=self_pairs).collect()}
+        each = {r["row_id"]: [r[f"ffm_{f}"] for f in fields] for r in
+                N.ffm_interaction(df, emb, fields, 4, include_self=self_pairs, per_field=True).collect()}
+        for rid, *vals in rows:
+            total, per = [0.0, 0.0], [[0.0, 0.0] for _ in fields]
+            for i in range(3):
+                for k in range(i if self_pairs else i + 1, 3):
+                    u, v = vec(vals[i], 3 * i + k), vec(vals[k], 3 * k + i)
+                    if u and v:
+                        for d in range(2):
+                            total[d] += u[d] * v[d]
+                            for j in {i, k}:
+                                per[j][d] += u[d] * v[d]
+            assert whole[rid] == total and each[rid] == per
+
+
+def test_ffm_joins_the_weights_once(spark):
+    from fieldcraft.operators import embed as N
+    names = [f"f{i}" for i in range(6)]
+    df = spark.createDataFrame([tuple(range(7))], "row_id long, " + ", ".join(f"{n} long" for n in names))
+    for k in (2, 6):
+        plan = N.ffm_interaction(df, _emb4(spark), names[:k], 4)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 1
+
+
+def test_lookup_by_vocabulary_and_linear_scorer(spark):
+    from fieldcraft.operators import embed as N
+    vocab = spark.createDataFrame([("a", "x", 2), ("a", "y", 3), ("b", "7", 0)], "field string, value string, idx int")
+    df = spark.createDataFrame([(1, "x", 7), (2, "z", None), (3, "y", 8)], "row_id long, a string, b long")
+    got = {r["row_id"]: (r["v_a"], r["v_b"]) for r in N.lookup_fields(df, _emb4(spark), ["a", "b"], vocab=vocab).collect()}
+    assert got == {1: ([1.0, 1.0], [1.0, 0.0]), 2: (None, None), 3: ([2.0, 0.0], None)}
+    cells = spark.createDataFrame([(1, 1, "1 2")], "row_id long, q int, c string")
+    w = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]
+    att = N.attention_pool(cells, _emb4(spark), "q", "c", 4, scorer=N.linear_scorer(w, 0.5)).first()["att"]
+    q, keys = [2.0, 0.0], [[1.0, 0.0], [2.0, 0.0]]
+    s = [sum(a * b for a, b in zip(w, [*q, *k, q[0] - k[0], q[1] - k[1], q[0] * k[0], q[1] * k[1]])) for k in keys]
+    e = [math.exp(x - max(s)) for x in s]
+    assert att == pytest.approx([(e[0] * 1 + e[1] * 2) / sum(e), 0.0])
+
+
+def test_row_item_lists_drop_the_own_item_once(spark):
+    rows = [(0, 1, 5, 1, "train"), (1, 1, 5, 1, "train"), (2, 1, 6, 0, "train"), (3, 1, 5, 0, "train"),
+            (4, 1, 5, 0, "test"), (5, 2, 9, 0, "test")]
+    df = spark.createDataFrame(rows, "row_id long, uid long, aid int, label int, split string")
+    got = {r["row_id"]: (r["pos_aid"], r["neg_aid"]) for r in
+           T.row_item_lists(df, ["row_id"], F.col("split") == "train").collect()}
+    assert got == {0: ("5", "6"), 1: ("5", "6"), 2: ("5 5", "5"), 3: ("5", "6"), 4: ("5 5", "6 5"), 5: ("", "")}
