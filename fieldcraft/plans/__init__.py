@@ -5,6 +5,7 @@ tables plus, where SQL can say the same thing, a DuckDB oracle."""
 def load_all():
     from fieldcraft.plans import (  # noqa: F401
         q_counts,
+        q_docs,
         q_embed,
         q_encode,
         q_eval,
