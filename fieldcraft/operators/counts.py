@@ -17,7 +17,7 @@ from fieldcraft.functions.numeric import zscore
 from fieldcraft.functions.ordered import global_position
 from fieldcraft.operators.prep import rank_within
 from fieldcraft.functions.text import distinct_token_count, token_count, tokens, tokens_ws
-from fieldcraft.session import broadcast_if_small
+from fieldcraft.session import broadcast_if_small, materialize
 
 
 def _c(x) -> Column:
@@ -46,30 +46,28 @@ def nunique_join(df: DataFrame, key: str, col: str, name: str | None = None) ->
 # ------------------------------------------------------------------ A04 / E06
 def nunique_zscore(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
     """Distinct count per key, then standardised over the rows of the joined
-    table (population std; a zero std divides by 1). The mean and std are
-    one global aggregate (two scalars)."""
-    j = nunique_join(df, key, col, name)
-    st = j.agg(F.avg(name).alias("mu"), F.stddev_pop(name).alias("sd")).first()
-    mu = st["mu"] if st["mu"] is not None else 0.0
-    sd = st["sd"] if st["sd"] is not None else 0.0
-    return j.withColumn(name, zscore(F.col(name).cast("double"), F.lit(mu), F.lit(sd)))
+    table (population std; a zero std divides by 1)."""
+    return nunique_recipe(df, [(key, col, name)])
 
 
 def nunique_recipe(df: DataFrame, specs: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Several standardised distinct counts, ``specs = [(key, col, name)]``:
-    all distinct-count tables are joined first, then every mean and std comes
-    from one aggregate (one action for the whole recipe)."""
-    j = df
-    for key, col, name in specs:
-        j = j.join(df.groupBy(key).agg(F.count_distinct(col).alias(name)), key, "left")
-    aggs = []
-    for _, _, name in specs:
-        aggs += [F.avg(name).alias(f"{name}__mu"), F.stddev_pop(name).alias(f"{name}__sd")]
-    st = j.agg(*aggs).first()
-    for _, _, name in specs:
-        mu, sd = st[f"{name}__mu"] or 0.0, st[f"{name}__sd"] or 0.0
-        j = j.withColumn(name, zscore(F.col(name).cast("double"), F.lit(mu), F.lit(sd)))
-    return j
+    """Several standardised distinct counts, ``specs = [(key, col, name)]``.
+    All counts of one key come from one aggregation, written once with the
+    number of rows per key; means and stds over the rows are sums over that
+    small table weighted by those numbers, so the rows are never joined just
+    to be averaged."""
+    out = df
+    for key in dict.fromkeys(k for k, _, _ in specs):
+        mine = [(c, name) for k, c, name in specs if k == key]
+        per = materialize(df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+            F.count(F.lit(1)).cast("double").alias("_rows"), *[F.count_distinct(c).alias(n) for c, n in mine]), "nunique")
+        w = F.col("_rows")
+        mean = per.agg(*[(F.sum(w * F.col(n)) / F.sum(w)).alias(n) for _, n in mine]).first()
+        sd = per.agg(*[F.sqrt(F.sum(w * (F.col(n) - F.lit(mean[n] or 0.0)) ** 2) / F.sum(w)).alias(n)
+                       for _, n in mine]).first()
+        out = out.join(per.select(key, *[zscore(F.col(n).cast("double"), F.lit(mean[n] or 0.0), F.lit(sd[n] or 0.0))
+                                         .alias(n) for _, n in mine]), key, "left")
+    return out
 
 
 # ------------------------------------------------------------------ A09
@@ -92,6 +90,7 @@ def uid_aid_stats(parts: Sequence[DataFrame], ad: DataFrame, user: str = "uid",
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p, allowMissingColumns=True)
+    df = materialize(df, "ids")  # three uses, one reading of the log
     ad1 = ad.select(item, campaign).dropDuplicates([item])
     camp = ad1.groupBy(campaign).agg(F.count_distinct(item).alias("campaignId_aid_nunique"))
     ad_stat = ad1.join(camp, campaign).select(item, "campaignId_aid_nunique")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldcraft.functions.numeric import PERCENTILE_EDGES, digitize_right, pmi_bucket
+from fieldcraft.functions.ordered import global_prefix_sum
 from fieldcraft.functions.text import tokens_ws
-from fieldcraft.session import broadcast_if_small, ensure_checkpoint_dir
+from fieldcraft.session import broadcast_if_small, ensure_checkpoint_dir, materialize
 
 
 def _log1p_exp(s: Column) -> Column:
@@ -110,20 +112,43 @@ def pmi_tokens(df: DataFrame, cond: str, keyword: str, row_id: str = "row_id",
 def percentile_edges(df: DataFrame, cols: Sequence[str],
                      percents: Sequence[float] = PERCENTILE_EDGES,
                      approx: bool = False, accuracy: int = 10000) -> dict[str, list[float]]:
-    """Percentiles of each column in one aggregation. Exact (linear
-    interpolation, as numpy) keeps one counter per distinct value, which suits
-    count-like columns; ``approx=True`` uses the bounded-memory
-    ``percentile_approx`` sketch for continuous columns."""
+    """Percentiles of each column, nulls left out. Exact (linear
+    interpolation, as numpy): the distinct values of all columns are counted,
+    sorted over all tasks with running counts, and only the two values around
+    each percentile come to the driver. ``approx=True`` uses the
+    bounded-memory ``percentile_approx`` sketch in one aggregation."""
     fr = [p / 100.0 for p in percents]
-    agg = (lambda c: F.percentile_approx(F.col(c).cast("double"), fr, accuracy)) if approx else \
-          (lambda c: F.percentile(F.col(c).cast("double"), fr))
-    row = df.agg(*[agg(c).alias(c) for c in cols]).first()
-    return {c: list(row[c]) for c in cols}
+    if approx:
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), fr, accuracy).alias(c) for c in cols]).first()
+        return {c: list(row[c]) for c in cols}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v"))
+                                         for c in cols])).alias("e")).select("e.*").filter("v IS NOT NULL")
+    counts = materialize(long.groupBy("col", "v").agg(F.count(F.lit(1)).cast("double").alias("k")), "values")
+    n = {r["col"]: int(r["n"]) for r in counts.groupBy("col").agg(F.sum("k").alias("n")).collect()}
+    start, at = {}, 0
+    for c in sorted(n):
+        start[c], at = at, at + n[c]
+    run = global_prefix_sum(counts, ["col", "v"], ["k"], ["below"])
+    spots = {c: [p * (n[c] - 1) for p in fr] for c in n}
+    wanted = sorted({start[c] + r for c, s in spots.items() for x in s for r in (math.floor(x), math.ceil(x))})
+    if not wanted:
+        return {c: [None] * len(fr) for c in cols}
+    inside = F.exists(F.array(*[F.lit(float(w)) for w in wanted]),
+                      lambda w: (w >= F.col("below")) & (w < F.col("below") + F.col("k")))
+    got = [(r["below"], r["k"], r["v"]) for r in run.filter(inside).collect()]
+    value = {w: v for w in wanted for b, k, v in got if b <= w < b + k}
+
+    def edge(c: str, x: float) -> float:
+        lo, hi = value[start[c] + math.floor(x)], value[start[c] + math.ceil(x)]
+        return lo + (hi - lo) * (x - math.floor(x))
+
+    return {c: [edge(c, x) for x in spots[c]] if c in n else [None] * len(fr) for c in cols}
 
 
 def digitize_percentile(df: DataFrame, cols: Sequence[str],
                         percents: Sequence[float] = PERCENTILE_EDGES, approx: bool = False) -> DataFrame:
     """Replace each column by its right-closed bucket among its percentiles."""
+    df = materialize(df, "digitize")  # read for the edges and for the buckets
     edges = percentile_edges(df, cols, percents, approx)
     out = df
     for c in cols:

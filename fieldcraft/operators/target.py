@@ -4,7 +4,9 @@ counts, Beta priors, token scores and per-user conversion.
 Leave-fold-out statistics are computed by subtraction: one aggregation by
 ``(key, fold)`` gives each fold's share, the key total is the sum of the
 shares, and "all folds but f" is ``total - share_f``. One shuffle replaces k
-re-scans, and a hot key never sits in one task (partial aggregation).
+re-scans, and a hot key never sits in one task (partial aggregation). Rows are
+stacked over the crossed keys for that one count only; the statistics, written
+once, are then joined onto the rows pair by pair.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 
 from fieldcraft.functions.ordered import global_position
 from fieldcraft.functions.text import cross_key, tokens
+from fieldcraft.session import broadcast_limit, materialize
 
 ALL_FOLDS = -1
 
@@ -187,28 +190,53 @@ def oof_smoothed_rate(df: DataFrame, pairs: Sequence[Sequence[str]], keep: Seque
     used = [c for p in pairs for c in p]
     base = df.select(*dict.fromkeys([*keep, *used, fold, label]), is_train.alias("_train"))
     long = _stack_keys(base, pairs, keep + [c for c in (fold, label) if c not in keep] + ["_train"])
-    stats = leave_fold_out_stats(long, ["pair", "key"], fold, F.col("_train"), label)
+    stats = materialize(leave_fold_out_stats(long, ["pair", "key"], fold, F.col("_train"), label), "outside")
     if fit_prior:
-        pri = beta_prior_fpi(leave_fold_out_histogram(stats), ["pair", "lk_fold"], iters=iters, eps=eps,
-                             alpha0=alpha, beta0=beta)
+        pri = materialize(beta_prior_fpi(leave_fold_out_histogram(stats), ["pair", "lk_fold"], iters=iters, eps=eps,
+                                         alpha0=alpha, beta0=beta), "priors")
     else:
         pri = None
+    rows = _with_lookup_fold(base, stats, fold)
+    lookups = _pair_lookups(stats)
+    for p in pairs:
+        name = "_".join(p)
+        rows = _join_pair(rows, lookups(name), p)
+        if pri is not None:
+            ab = F.broadcast(pri.filter(F.col("pair") == name).select(  # one row per fold
+                F.col("lk_fold").alias("_pf"), F.col("alpha").alias("_pa"), F.col("beta").alias("_pb")))
+            rows = rows.join(ab, F.col("_lk") == F.col("_pf"), "left")
+            a, b = F.coalesce(F.col("_pa"), F.lit(float(alpha))), F.coalesce(F.col("_pb"), F.lit(float(beta)))
+        else:
+            a, b = F.lit(float(alpha)), F.lit(float(beta))
+        rate = F.when(F.col("_n") > 0, (F.col("_s") + a) / (F.col("_n") + a + b)).otherwise(a / (a + b))
+        rows = (rows.withColumn(f"{name}_stas", F.bround(F.lit(scale) * rate, digits))
+                .drop("_s", "_n", "_pf", "_pa", "_pb"))
+    return rows.select(*keep, *["_".join(p) + "_stas" for p in pairs])
+
+
+def _with_lookup_fold(base: DataFrame, stats: DataFrame, fold: str) -> DataFrame:
+    """The fold whose statistics a row reads: its own for training rows."""
     lk = F.when(F.col("_train"), F.col(fold)).otherwise(F.lit(ALL_FOLDS))
-    j = long.withColumn("lk_fold", lk.cast(stats.schema["lk_fold"].dataType)) \
-            .join(stats.drop("ts", "tn"), ["pair", "key", "lk_fold"], "left")
-    if pri is not None:
-        j = j.join(F.broadcast(pri), ["pair", "lk_fold"], "left")  # one row per (pair, fold)
-        a = F.coalesce(F.col("alpha"), F.lit(alpha))
-        b = F.coalesce(F.col("beta"), F.lit(beta))
-    else:
-        a, b = F.lit(float(alpha)), F.lit(float(beta))
-    rate = F.when(F.col("n") > 0, (F.col("s") + a) / (F.col("n") + a + b)).otherwise(a / (a + b))
-    j = j.withColumn("v", F.bround(F.lit(scale) * F.coalesce(rate, a / (a + b)), digits))
-    names = ["_".join(p) for p in pairs]
-    wide = j.groupBy(*keep).pivot("pair", names).agg(F.first("v"))
-    for nm in names:
-        wide = wide.withColumnRenamed(nm, nm + "_stas")
-    return wide
+    return base.withColumn("_lk", lk.cast(stats.schema["lk_fold"].dataType))
+
+
+def _pair_lookups(stats: DataFrame):
+    """Statistics of one pair, broadcast behind the measured size of its rows
+    (all sizes in one aggregate); a larger table is joined by shuffle."""
+    limit = broadcast_limit(stats.sparkSession)
+    size = {r["pair"]: r["b"] for r in stats.groupBy("pair").agg(
+        F.sum(F.octet_length("key") + F.lit(64)).alias("b")).collect()}
+
+    def one(name: str) -> DataFrame:
+        t = stats.filter(F.col("pair") == name).select(
+            F.col("key").alias("_key"), F.col("lk_fold").alias("_f"), F.col("s").alias("_s"), F.col("n").alias("_n"))
+        return F.broadcast(t) if 0 <= size.get(name, 0) <= limit else t
+    return one
+
+
+def _join_pair(rows: DataFrame, table: DataFrame, pair: Sequence[str]) -> DataFrame:
+    on = (cross_key(*pair) == F.col("_key")) & (F.col("_lk") == F.col("_f"))
+    return rows.join(table, on, "left").drop("_key", "_f")
 
 
 # ---------------------------------------------------------------- T05 / T07
@@ -226,21 +254,16 @@ def oof_pos_neg(df: DataFrame, keys: Sequence[Sequence[str] | str], keep: Sequen
     base = df.select(*dict.fromkeys([*keep, *used, fold, label]), is_train.alias("_train"))
     extra = [c for c in (fold, label) if c not in keep]
     long = _stack_keys(base, pairs, keep + extra + ["_train"])
-    stats = leave_fold_out_stats(long, ["pair", "key"], fold, F.col("_train"), label)
-    lk = F.when(F.col("_train"), F.col(fold)).otherwise(F.lit(ALL_FOLDS))
-    j = long.withColumn("lk_fold", lk.cast(stats.schema["lk_fold"].dataType)) \
-            .join(stats, ["pair", "key", "lk_fold"], "left")
-    seen = F.col("n") > 0
-    j = j.select(*keep, "pair",
-                 F.when(seen, F.col("s")).otherwise(F.lit(missing)).cast("long").alias("pos"),
-                 F.when(seen, F.col("n") - F.col("s")).otherwise(F.lit(missing)).cast("long").alias("neg"))
-    names = ["_".join(p) for p in pairs]
-    wide = j.groupBy(*keep).pivot("pair", names).agg(F.first("pos").alias("p"), F.first("neg").alias("q"))
-    out = wide
-    for nm in names:
-        out = (out.withColumnRenamed(f"{nm}_p", f"{nm}_positive_num")
-                  .withColumnRenamed(f"{nm}_q", f"{nm}_negative_num"))
-    return out
+    stats = materialize(leave_fold_out_stats(long, ["pair", "key"], fold, F.col("_train"), label), "outside")
+    rows = _with_lookup_fold(base, stats, fold)
+    lookups = _pair_lookups(stats)
+    for p in pairs:
+        name = "_".join(p)
+        rows, seen = _join_pair(rows, lookups(name), p), F.col("_n") > 0
+        rows = (rows.withColumn(f"{name}_positive_num", F.when(seen, F.col("_s")).otherwise(F.lit(missing)).cast("long"))
+                .withColumn(f"{name}_negative_num", F.when(seen, F.col("_n") - F.col("_s")).otherwise(F.lit(missing)).cast("long"))
+                .drop("_s", "_n"))
+    return rows.select(*keep, *[f"{'_'.join(p)}_{side}_num" for p in pairs for side in ("positive", "negative")])
 
 
 # ---------------------------------------------------------------- T04

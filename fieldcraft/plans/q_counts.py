@@ -90,7 +90,7 @@ SELECT row_id, campaignId_aid_nunique, uid_aid_nunique, aid_uid_nunique, uid_cou
 FROM log LEFT JOIN u USING (uid) LEFT JOIN a USING (aid) LEFT JOIN adst USING (aid)
 """)
 def uid_aid_stats(spark, d):
-    lg = log(spark, d)
+    lg = log(spark, d).select("row_id", "split", "uid", "aid")
     parts = [lg.filter(F.col("split") == s) for s in ("train", "valid", "test")]
     out = C.uid_aid_stats(parts, fx.ad(spark, d))
     return out.select("row_id", "campaignId_aid_nunique", "uid_aid_nunique", "aid_uid_nunique", "uid_count")
@@ -104,7 +104,7 @@ g AS (SELECT uid_count, count(*) AS cnt, min(row_id) AS f FROM t GROUP BY 1 HAVI
 SELECT uid_count, cnt, CAST(row_number() OVER (ORDER BY f) + 1 AS INTEGER) AS idx FROM g
 """)
 def uid_count_vocab(spark, d):
-    lg = log(spark, d)
+    lg = log(spark, d).select("row_id", "split", "uid", "aid")
     parts = [lg.filter(F.col("split") == s) for s in ("train", "valid", "test")]
     st = C.uid_aid_stats(parts, fx.ad(spark, d))
     return C.first_seen_vocab(st.filter(is_train()), "uid_count", ["row_id"], THRESHOLD)

@@ -63,7 +63,7 @@ def pmi_tokens(spark, d):
 
 
 def _stats(spark, d):
-    lg = log(spark, d)
+    lg = log(spark, d).select("row_id", "split", "uid", "aid")
     parts = [lg.filter(F.col("split") == s) for s in ("train", "valid", "test")]
     return C.uid_aid_stats(parts, fx.ad(spark, d))
 
