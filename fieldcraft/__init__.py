@@ -11,7 +11,8 @@ from native Spark expressions. Sub-packages:
 * ``operators`` - joins, counts, target statistics, ordered features,
                   encoders, information scores, models, ensembles, embeddings
 * ``plans``     - the registered queries and their SQL oracles
-* ``streaming`` - incremental scoring of new interaction batches
+* ``llm``       - training-data operators over documents, pages and
+                  conversations; nothing else imports it
 """
 
 __version__ = "0.1.0"

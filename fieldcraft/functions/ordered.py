@@ -52,6 +52,13 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
     """Add a 0-based contiguous position in ``order`` (ties in an arbitrary
     but fixed order). JVM-only: ``monotonically_increasing_id`` carries the
     record number inside its partition."""
+    return numbered(df, order, name, num_partitions)[0]
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "pos",
+             num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """:func:`global_position` and the number of rows, both from the one count
+    per partition."""
     srt = sorted_checkpoint(df, order, num_partitions)
     nparts = srt.rdd.getNumPartitions()
     counts = {r[0]: r[1] for r in
@@ -59,8 +66,9 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
     offs = _offsets(counts, nparts)
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    base = F.element_at(F.array(*[F.lit(int(o)).cast("long") for o in offs]), pid + 1)
-    return srt.withColumn(name, base + local)
+    # one constant, however many partitions there are
+    table = F.split(F.lit(",".join(str(int(o)) for o in offs) or "0"), ",").cast("array<bigint>")
+    return srt.withColumn(name, F.element_at(table, pid + 1) + local), int(sum(counts.values()))
 
 
 def global_prefix_sum(df: DataFrame, order: Sequence[Column | str], values: Sequence[str],
@@ -98,4 +106,4 @@ def dense_index(df: DataFrame, cols: Sequence[str], name: str = "idx",
     return global_position(df.select(*cols).distinct(), list(cols), name, num_partitions)
 
 
-__all__ = ["sorted_checkpoint", "global_position", "global_prefix_sum", "dense_index"]
+__all__ = ["sorted_checkpoint", "global_position", "numbered", "global_prefix_sum", "dense_index"]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldcraft.functions.ordered import global_position
+from fieldcraft.functions.ordered import global_position, numbered
 
 
 def _c(x) -> Column:
@@ -84,8 +84,7 @@ def positional_split(df: DataFrame, order: str, head_frac: float = 0.7,
     """First ``int(head_frac*n)`` rows -> 'head', last ``int(tail_frac*n)``
     rows -> 'tail'; a row in neither is dropped (the reference's truncation).
     Positions come from the distributed global position, not a global window."""
-    pos = global_position(df, [order], "_pos")
-    n = pos.count()
+    pos, n = numbered(df, [order], "_pos")
     h, t = int(head_frac * n), int(tail_frac * n)
     part = (F.when(F.col("_pos") < F.lit(h), F.lit("head"))
              .when(F.col("_pos") >= F.lit(n - t), F.lit("tail")))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldcraft.functions.ordered import global_position
+from fieldcraft.functions.ordered import numbered
 from fieldcraft.functions.text import cross_key, tokens
 from fieldcraft.session import broadcast_limit, materialize
 
@@ -307,8 +307,7 @@ def contiguous_fold(df: DataFrame, order: str, k: int, holdout: int = 0,
     """Position in ``order`` -> contiguous fold: ``interval = last // k``,
     fold = min(pos // interval, k-1); the last ``holdout`` rows get fold -2
     (scored from the head). Adds ``pos`` and ``name``."""
-    pos = global_position(df, [order], "pos")
-    n = pos.count()
+    pos, n = numbered(df, [order], "pos")
     last = n - holdout
     interval = max(last // k, 1)
     f = F.least(F.floor(F.col("pos") / F.lit(interval)), F.lit(k - 1)).cast("int")

@@ -8,7 +8,7 @@
              orders, ``'-1'`` when empty.
 * ``merged`` - ``log`` inner-joined to both dimensions.
 
-The same tables are written as SQL in ``fieldcraft.plans.oracle``.
+The same tables are written as SQL in ``fieldcraft.plans.oracle_base``.
 """
 
 from __future__ import annotations
