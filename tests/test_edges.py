@@ -171,3 +171,9 @@ def test_scratch_tables_are_dropped(spark):
     assert t.count() == 5 and os.path.isdir(folder)
     session.drop_scratch(t)
     assert not os.path.isdir(folder)
+
+
+def test_materialize_once(spark, tmp_path):
+    path = str(tmp_path / "once")
+    assert files.materialize_once(spark.range(3), path).count() == 3
+    assert files.materialize_once(spark.range(9), path).count() == 3  # the first output stays
