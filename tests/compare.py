@@ -2,9 +2,11 @@
 
 import math
 
+import pandas as pd
+
 
 def norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return "None"
     if isinstance(v, float):
         return "None" if math.isnan(v) else repr(round(v, 6) + 0.0)
