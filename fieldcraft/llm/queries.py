@@ -93,8 +93,8 @@ def op7(spark, sf_dir):
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
@@ -123,8 +123,9 @@ WITH p AS (
     sha1(coalesce(html, '')) AS h FROM pages),
 f AS (SELECT h AS fh, min(page_id) AS first FROM p GROUP BY h)
 SELECT page_id, url, payload_bytes,
-  array_to_string(list_transform(range(32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    1 + ((('0x' || substr(h, (5 * (j // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (j % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, (5 * (j // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (j % 4))::INT) & 31)::INT, 1)
+    FOR j IN range(32)], '') AS payload_digest,
   CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM p JOIN f ON h = fh""")
