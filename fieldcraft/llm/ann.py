@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-K, FACTOR, SHARD_ROWS, BLOCK_ROWS, LEAF, EVERY = 20, 1.0, 8192, 4096, 64, 20
+K, FACTOR, SHARD_ROWS, BLOCK_ROWS, LEAF, EVERY = 20, 1.0, 8192, 4096, 256, 20
 FOUND = "query_id long, vec_id long, score double"
 
 
