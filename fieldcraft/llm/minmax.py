@@ -16,6 +16,7 @@ Buckets are grouped to their smallest member, never collected; clusters above
 ``block_docs`` documents or ``block_bytes`` of text are cut into blocks by a
 hash of the id, and each pair of blocks is one task's group, so no group is
 larger than two blocks (or two single documents, where those are longer).
+Only texts of clusters are shuffled; a bitmap of fixed size tells most others.
 Nothing is capped: a larger cluster only has more blocks.
 
 Cases: null or wordless texts have no shingle and are linked with nothing; a
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 
 from fieldcraft.llm import shingles as S
 from fieldcraft.llm.graph import components
-from fieldcraft.session import broadcast_if_small, drop_scratch, materialize
+from fieldcraft.llm.membership import bound_batches, rows_of
+from fieldcraft.session import drop_scratch, materialize
 
 PERMUTATIONS, ROWS, SEED = 128, 5, 20240501
 BLOCK_DOCS, BLOCK_BYTES = 256, 4 << 20
@@ -102,7 +104,7 @@ def signatures(docs: DataFrame, permutations: int = PERMUTATIONS, rows: int = RO
     return docs.select("id", "text").mapInArrow(run, SIGNATURE)
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray], limit: int = 1 << 22):
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], limit: int = 1 << 20):
     """Yield (first left row, matrix) of exact intersection sizes between
     sorted distinct sets; ``limit`` bounds the matches held at once."""
     post = np.concatenate(right) if right else np.empty(0, np.uint64)
@@ -177,7 +179,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     seed: int = SEED, block_docs: int = BLOCK_DOCS,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``."""
-    spark = df.sparkSession
+    bound_batches(df.sparkSession)
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     sig = materialize(signatures(docs, permutations, rows, seed), "signatures")
 
@@ -201,7 +203,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = materialize(member.join(span, "component").select(
         F.col("node").alias("id"), "component", "nb",
         F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("blk")), "members")
-    texts = docs.join(broadcast_if_small(member, member.count()), "id")
+    texts = rows_of(docs, "id", member.withColumnRenamed("id", "node"), "node").drop("node")
     texts = texts.dropDuplicates(["id", "text"]) if _repeats(sig) else texts
     spread = (texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
               .select("component", F.least("blk", "other").alias("bi"),
