@@ -26,6 +26,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcraft.llm.membership import bound_batches
+
 #: Units of at most so many characters are remembered, so many of them.
 UNIT_CHARS, UNITS_KEPT = 48, 400_000
 #: Texts encoded at a time: rows, and characters after which a group ends.
@@ -182,6 +184,7 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     schema += ", ids_sha256 string, decoded_sha256 string" if digests else ""
     schema += ", ids array<int>" if with_ids else ""
     schema += ", offsets array<struct<start:int,end:int>>" if with_offsets else ""
+    bound_batches(df.sparkSession)
     file = shipped(df.sparkSession, tokenizer)
 
     def run(batches):

@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcraft.llm.membership import bound_batches
 from fieldcraft.llm.shingles import blocks
 
 DIM, PASSAGE, LANDMARKS, RIDGE, SHARPNESS = 1 << 13, 2048, 128, 1e-2, 6.0
@@ -184,6 +185,7 @@ def _predict(model: Model, column) -> tuple[list[str], np.ndarray]:
 
 
 def trained(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
+    bound_batches(docs.sparkSession)
     return fit(*sample(docs, train_rows, lang_col, id_col, text_col))
 
 

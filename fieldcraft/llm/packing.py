@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcraft.llm.bpe import byte_characters
+from fieldcraft.llm.membership import bound_batches
 from fieldcraft.session import materialize
 
 WINDOW, END_ID = 2048, 0
@@ -75,6 +76,7 @@ def cut(n_tokens: int, window: int = WINDOW) -> list[tuple[int, int]]:
 
 def token_pieces(df: DataFrame, tokenizer: str, pattern: str, id_col: str, text_col: str,
                  window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+    bound_batches(df.sparkSession)
     file = df.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches):

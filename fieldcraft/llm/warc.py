@@ -32,6 +32,7 @@ from urllib.parse import quote, unquote_to_bytes
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcraft.llm.membership import bound_batches
 from fieldcraft.session import broadcast_if_small, materialize, scratch_path
 
 DATE = "2024-01-01T00:00:00Z"
@@ -121,6 +122,8 @@ def mark_revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, level: int = 6,
                    file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write ``pages(page_id, url, html)`` below ``folder``; the manifest."""
+    bound_batches(pages.sparkSession)
+
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
