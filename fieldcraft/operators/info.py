@@ -79,8 +79,9 @@ def pmi_tokens(df: DataFrame, cond: str, keyword: str, row_id: str = "row_id",
     ``_max`` = log1p(prod p) (the product, as the reference computes it),
     ``_mean`` = log1p(prod p) / tokens, ``_mintok`` = log1p(min p) (the
     per-token minimum the name suggests). Products are summed logs; an empty
-    cell gives null. Token statistics are two aggregations over the exploded
-    tokens joined back by token and (cond, token)."""
+    cell gives null. The tokens are counted once by (cond, token); scores are
+    made from that table and joined back once, by broadcast where the measured
+    size of the table allows it."""
     keep = list(dict.fromkeys([row_id, *keep]))
     n = df.count()
     base = df.select(*keep, *[c for c in (cond, keyword) if c not in keep])
@@ -88,11 +89,12 @@ def pmi_tokens(df: DataFrame, cond: str, keyword: str, row_id: str = "row_id",
     # single group on the row has every row (no join back onto the rows)
     rows = base.select(*list(dict.fromkeys([*keep, cond])), F.explode_outer(tokens_ws(keyword)).alias("tok"))
     toks = rows.filter(F.col("tok").isNotNull())
-    back = toks.groupBy("tok").agg(F.count(F.lit(1)).alias("_b"))
-    condi = toks.groupBy(cond, "tok").agg(F.count(F.lit(1)).alias("_ct"))
+    condi = materialize(toks.groupBy(cond, "tok").agg(F.count(F.lit(1)).alias("_ct")), "tokens")
+    back = condi.groupBy("tok").agg(F.sum("_ct").alias("_b"))
     ccount = base.groupBy(cond).agg(F.count(F.lit(1)).alias("_cc"))
-    p = (rows.join(back, "tok", "left").join(condi, [cond, "tok"], "left").join(ccount, cond, "left")
-             .withColumn("_p", F.col("_cc") * F.col("_b") / F.col("_ct") / F.lit(float(n))))
+    table = (condi.join(back, "tok").join(ccount, cond)
+             .select(cond, "tok", (F.col("_cc") * F.col("_b") / F.col("_ct") / F.lit(float(n))).alias("_p")))
+    p = rows.join(broadcast_if_small(table), [cond, "tok"], "left")
     per_row = p.groupBy(*keep).agg(F.sum(F.log("_p")).alias("_s"), F.count("_p").alias("_k"),
                                    F.min("_p").alias("_mn"))
     pre = f"new_inf_{cond}_{keyword}"
