@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcraft.functions.ordered import global_position
 from fieldcraft.functions.text import tokens
 from fieldcraft.operators.prep import rank_within
-from fieldcraft.session import broadcast_if_small
+from fieldcraft.session import broadcast_if_small, materialize
 
 
 # ------------------------------------------------------------------ W01
@@ -46,6 +46,10 @@ def dup_flags(df: DataFrame, subset: Sequence[str], order: str, label: str = "la
 
 
 # ------------------------------------------------------------------ W03
+#: rows of a window block
+BLOCK = 1024
+
+
 def label_history_seq(train: DataFrame, others: DataFrame, key: str, order: str,
                       label: str = "label", depth: int = 4, keep: Sequence[str] = ()) -> DataFrame:
     """Last-``depth`` labels of the key before each training row (current
@@ -55,17 +59,17 @@ def label_history_seq(train: DataFrame, others: DataFrame, key: str, order: str,
     sequence -> 0. Output ``keep`` + ``seq`` + ``seq_idx``."""
     keep = list(keep)
     cols = list(dict.fromkeys(keep + [key, order, label]))
-    r = rank_within(train.select(*cols), [key], [order], "_r", pos_name="_g")
-    # each row sends its label to the next `depth` positions of the same key
-    sent = r.select(F.col(key).alias("_k"), F.col(label).alias("_lab"),
-                    F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("_j"),
-                    (F.col("_g")).alias("_src"))
-    sent = sent.withColumn("_tgt", F.col("_src") + F.col("_j"))
-    prev = (r.select(key, "_g").join(sent, (F.col("_g") == F.col("_tgt")) & (F.col(key) == F.col("_k")))
-             .groupBy("_g").agg(F.sort_array(F.collect_list(F.struct(F.col("_src"), F.col("_lab"))))
-                                 .alias("_h")))  # at most `depth` entries per row
-    seq = F.array_join(F.transform(F.coalesce("_h", F.array()), lambda x: x["_lab"].cast("string")), " ")
-    tr = r.join(prev, "_g", "left").withColumn("seq", seq)
+    r = materialize(rank_within(train.select(*cols), [key], [order], "_r", pos_name="_g"), "history")
+    # windows over blocks of consecutive positions, never over a key; a block
+    # also holds the last `depth` rows of the one before it
+    block = F.floor(F.col("_g") / BLOCK)
+    both = F.when(F.col("_g") % BLOCK >= BLOCK - depth, F.array(block, block + 1)).otherwise(F.array(block))
+    w = Window.partitionBy("_b").orderBy("_g")
+    start = F.col("_g") - F.col("_r")  # of the row's key
+    past = [F.when(F.lag("_g", j).over(w) >= start, F.lag(label, j).over(w).cast("string"))
+            for j in range(depth, 0, -1)]
+    tr = (r.withColumn("_own", block).withColumn("_b", F.explode(both))
+          .withColumn("seq", F.array_join(F.array(*past), " ")).filter("_b = _own"))
     vocab = global_position(tr.groupBy("seq").agg(F.min(order).alias("_first")), ["_first"], "_i") \
         .select("seq", F.col("_i").cast("int").alias("seq_idx"))  # one row per distinct sequence
     cnt = train.groupBy(key).agg(F.count(F.lit(1)).alias("_nk"))

@@ -331,3 +331,15 @@ def test_row_item_lists_drop_the_own_item_once(spark):
     got = {r["row_id"]: (r["pos_aid"], r["neg_aid"]) for r in
            T.row_item_lists(df, ["row_id"], F.col("split") == "train").collect()}
     assert got == {0: ("5", "6"), 1: ("5", "6"), 2: ("5 5", "5"), 3: ("5", "6"), 4: ("5 5", "6 5"), 5: ("", "")}
+
+
+def test_label_history_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(O, "BLOCK", 7)
+    rows = [(i, None if i % 9 == 0 else i % 2, (i * i) % 3) for i in range(80)]
+    tr = spark.createDataFrame(rows, "row_id long, uid long, label int")
+    got = {r["row_id"]: r["seq"] for r in O.label_history_seq(tr, tr.limit(0), "uid", "row_id", keep=["row_id"]).collect()}
+    past = {}
+    assert len(got) == 80
+    for i, u, y in rows:
+        assert got[i] == " ".join(str(x) for x in past.get(u, [])[-4:]), i
+        past.setdefault(u, []).append(y)
