@@ -127,6 +127,23 @@ def test_host_vote_beats_the_page(spark):
     assert got[9] == "short but true" and got[0].startswith("good words")
 
 
+def test_text_beside_the_best_container():
+    """Heading, lede, closing paragraph and the rest of an article stay, however
+    small; link lists and other boxes beside the container do not."""
+    long = "body words " * 3000
+    want = ["Title of it", "A lede with a link.", long.strip(), "More.", "The end."]
+    page = ("<body><nav><a href=x>n</a></nav><div class=page><h1><span>Title of it</span></h1><p>A lede with a <a href=y>link</a>."
+            "<div class=body><p>{}</div><h4>More.</h4><p>The end.</p><p><a href=z>all posts</a></p>"
+            "<div class=tags><a href=z>tag one</a></div><div class=box>small box</div></div></body>").format(long)
+    assert html.extract(page, None).split("\n\n") == want
+    # cut two levels down, in an article with a part in a container of its own
+    page = ("<article><h1>Head</h1><div class=a><div class=b><div class=c><p>{}</div></div></div>"
+            "<div class=z><p>Closing.</div></article><div class=box>small box</div>").format(long)
+    assert html.extract(page, None).split("\n\n") == ["Head", long.strip(), "Closing."]
+    deep = "<div>" * 3000 + "<p>deep" + "</div>" * 3000
+    assert html.extract(deep, None) == "deep"
+
+
 def article(page):
     """The generated pages' own article, by plain string search."""
     import re
