@@ -144,6 +144,32 @@ def test_text_beside_the_best_container():
     assert html.extract(deep, None) == "deep"
 
 
+def test_two_templates_of_a_host(spark):
+    """Pages of a minority template whose small box lies at the majority's path
+    keep their article; the box at less and at more than a fiftieth of the page."""
+    usual = "<html><body><div><p>" + "usual words " * 60 + "</div></body></html>"
+    other = "<html><body><article><p>" + "article words " * 40 + "</article><div><p>small {}</div></body></html>"
+    rows = [(i, "http://h.example/a", usual) for i in range(12)]
+    rows += [(100 + i, "http://h.example/b", other.format("")) for i in range(4)]
+    rows += [(200 + i, "http://g.example/a", usual) for i in range(12)] + [(300, "http://g.example/b", other.format(""))]
+    rows += [(400 + i, "http://k.example/a", usual) for i in range(12)]
+    rows += [(500 + i, "http://k.example/b", other.format("box " * 10)) for i in range(4)]
+    got = {r.page_id: r.text for r in html.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = ("article words " * 40).strip()
+    for i, _, page in rows:
+        if page == usual:
+            assert got[i] == ("usual words " * 60).strip(), i
+        else:
+            assert got[i] == want if i < 500 else got[i].startswith(want), i
+
+
+def test_rare_paths_of_a_host():
+    """A page whose path is not among its host's votes has its own."""
+    page = "<body><div class=rare><p>" + "rare words " * 40 + "</div><div class=x><p>x</div></body>"
+    assert html.extract(page, {"#page/body/div.x": (10 ** 6, 10 ** 6)}) == ("rare words " * 40).strip()
+
+
 def article(page):
     """The generated pages' own article, by plain string search."""
     import re
