@@ -171,3 +171,34 @@ def test_quality_on_documents(spark):
     good = [r.kept for r in rows if r.quality == 1]
     bad = [r.kept for r in rows if r.quality == 0]
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_quality_at_other_sizes(spark):
+    """Junk of one kind goes from a small and from a large table, and scores
+    alike in both."""
+    r, means = random.Random(5), []
+    for n in (60, 600):
+        words = lambda tail: " ".join(f"g{int(400 * r.random() ** 2)}{tail}" for _ in range(120))
+        texts = [words("") for _ in range(n)] + [words("%%%") for _ in range(n // 5)]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        labels = df.selectExpr("doc_id", f"IF(doc_id < {n}, 1, 0) AS quality").filter("doc_id % 2 = 0")
+        got = quality.judge(df, labels).collect()
+        good, bad = [x.kept for x in got if x.doc_id < n], [x.llr for x in got if x.doc_id >= n]
+        assert sum(good) >= 0.9 * n and not any(x.kept for x in got if x.doc_id >= n)
+        means.append(sum(bad) / len(bad))
+    assert means[0] == pytest.approx(means[1], rel=0.3) and means[1] < -0.5
+
+
+def test_quality_target_is_whole(spark):
+    """Every document labelled good counts, however many there are."""
+    rows = spark.range(20_500).select(F.col("id").alias("__id"), F.lit("x").alias("__text"))
+    labels = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    assert quality.flag_good(rows, quality.good_ids(labels)).filter("__in").count() == 20_500
+
+
+def test_quality_of_few_documents(spark):
+    """A table of 200 documents: planted junk goes, what is labelled good stays."""
+    d = "/root/testdata/sf0.001"
+    rows = Q.op7(spark, d).join(Q.table(spark, d, "labels"), "doc_id").filter(~F.col("base_failed")).collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.5 * len(bad)
