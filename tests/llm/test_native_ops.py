@@ -196,6 +196,20 @@ def test_quality_target_is_whole(spark):
     assert quality.flag_good(rows, quality.good_ids(labels)).filter("__in").count() == 20_500
 
 
+def test_quality_flags_without_broadcast(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "__id long, __text string")
+    good = spark.createDataFrame([(1,), (7,)], "__good long")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    try:
+        for limit in (old, "-1"):
+            spark.conf.set(name, limit)
+            got = {x["__text"]: x["__in"] for x in quality.flag_good(rows, good).collect()}
+            assert got == {"a": True, "b": True, "c": False, "d": False}
+    finally:
+        spark.conf.set(name, old)
+
+
 def test_quality_of_few_documents(spark):
     """A table of 200 documents: planted junk goes, what is labelled good stays."""
     d = "/root/testdata/sf0.001"
