@@ -45,22 +45,26 @@ PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 l
 
 # --- token pieces ---------------------------------------------------------
 
-class _Ranks:
+class Ranks:
     """The byte ranks of a tokenizers file; the same merges as the file's own
-    library makes, several times faster."""
+    library makes, several times faster. ``encode`` reads special tokens' strings
+    as ordinary text. ``pieces``: the bytes of each id."""
 
     def __init__(self, text: str, pattern: str) -> None:
         import tiktoken
         back = {c: b for b, c in enumerate(byte_characters())}
         vocab = json.loads(text)["model"]["vocab"]
         ranks = {bytes(back[c] for c in t): i for t, i in vocab.items() if all(c in back for c in t)}
+        self.pieces = [b""] * (max(ranks.values()) + 1)
+        for raw, i in ranks.items():
+            self.pieces[i] = raw
         self.enc = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
         return self.enc.encode_to_numpy(text, disallowed_special=())
 
 
-_RANKS: dict[int, _Ranks] = {}
+_RANKS: dict[int, Ranks] = {}
 
 
 def cut(n_tokens: int, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -84,7 +88,7 @@ def token_pieces(df: DataFrame, tokenizer: str, pattern: str, id_col: str, text_
         from pyspark import TaskContext
         key = hash((file.value, pattern))
         if key not in _RANKS:
-            _RANKS[key] = _Ranks(file.value, pattern)
+            _RANKS[key] = Ranks(file.value, pattern)
         enc, row = _RANKS[key], TaskContext.get().partitionId() << 33
         for batch in batches:
             out = []

@@ -133,6 +133,40 @@ def op10(spark, sf_dir):
     from fieldcraft.llm.warc import round_trip
     return round_trip(table(spark, sf_dir, "pages"))
 
+#: the rules of the url query: host, path, verdict
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@register("op11_url_range_rules", r"""
+WITH r AS (SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+    ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')) t(h, p, v)),
+u AS (SELECT row_number() OVER () AS n, page_id,
+    CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+k AS (SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+w AS (SELECT n, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
+  FROM k JOIN r ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM k LEFT JOIN w USING (n)""")
+def op11(spark, sf_dir):
+    from fieldcraft.llm.urls import judge_urls
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@register("op12_token_alignment")
+def op12(spark, sf_dir):
+    from fieldcraft.llm.align import align
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), PATTERN, model)
+
+
+@register("op13_target_resampling")
+def op13(spark, sf_dir):
+    from fieldcraft.llm.resample import resample
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
 @register("pipeline")
 def pipeline(spark, sf_dir):
