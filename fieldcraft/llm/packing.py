@@ -14,13 +14,14 @@ room of open windows) are rows of two tables. One superstep:
    new windows, which the top size class does, filled by next fit in size order;
 5. repeat until no piece is left.
 
-A gap that could hold several of the largest remaining pieces is offered as
+A gap that could hold several of the largest remaining pieces may be offered as
 several slots, so collections of tiny documents do not need a superstep per
-document. The number of supersteps follows the window and the spread of sizes,
+document; the further slots come from the largest gaps and are no more than the
+pieces left, plus one a gap. The number of supersteps follows the window and the spread of sizes,
 not the number of documents; every step moves narrow rows (ids and sizes) only.
 
 Cases: null text is an empty document (the end id alone); a text of any length
-is encoded whole; repeated ids and rows are separate documents (rows are
+is encoded whole; strings of added tokens in a text get their ids, as in the library; repeated ids and rows are separate documents (rows are
 numbered internally); an empty table gives an empty result; other columns are
 ignored.
 """
@@ -59,10 +60,22 @@ class Ranks:
         for raw, i in ranks.items():
             self.pieces[i] = raw
         self.enc = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.added = [t["content"] for t in json.loads(text).get("added_tokens", [])]
+        self.file, self.library = text, None
 
     def encode(self, text: str) -> np.ndarray:
         return self.enc.encode_to_numpy(text, disallowed_special=())
 
+    def encode_added(self, text: str) -> np.ndarray:
+        """As the library does by default: strings of the file's added tokens get
+        those tokens' ids. Texts that hold one are left to the library itself."""
+        if not any(t in text for t in self.added):
+            return self.encode(text)
+        if self.library is None:
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_str(self.file)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int64)
+
 
 _RANKS: dict[int, Ranks] = {}
 
@@ -93,7 +106,7 @@ def token_pieces(df: DataFrame, tokenizer: str, pattern: str, id_col: str, text_
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(enc.encode(text.as_py() or ""), end_id).astype("<u4")
+                ids = np.append(enc.encode_added(text.as_py() or ""), end_id).astype("<u4")
                 raw = memoryview(ids.tobytes())
                 for k, (start, length) in enumerate(cut(len(ids), window)):
                     out.append((row, doc, k, start, length, zlib.crc32(raw[4 * start:4 * (start + length)])))
@@ -221,6 +234,30 @@ def _class(length, window: int):
     return out
 
 
+def gap_sizes(gaps: DataFrame) -> dict[int, int]:
+    """How many gaps there are of each size (at most ``window`` sizes)."""
+    return {r["gap"]: r["count"] for r in gaps.groupBy("gap").count().collect()}
+
+
+def spare_slots(sizes: dict[int, int], pieces: int, largest: int) -> tuple[int, int, int]:
+    """From how many gaps there are of each size: ``(edge, at_edge, total)``. Gaps
+    above ``edge`` are offered as all the slots of ``largest`` that they hold, gaps of
+    size ``edge`` as ``at_edge`` slots, smaller ones as one; ``total`` slots. The largest
+    gaps come first, until the further slots would serve all ``pieces``."""
+    want, total, count = pieces, sum(sizes.values()), 0
+    for size in sorted(sizes, reverse=True):
+        more = size // largest - 1
+        if more <= 0:
+            break
+        each = min(more, -(-want // sizes[size]))
+        total += each * sizes[size]
+        want -= each * sizes[size]
+        if want <= 0:
+            return size, each + 1, total
+        count = size
+    return max(count - 1, 0), 1, total
+
+
 def pack(pieces: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) -> DataFrame:
     """``pieces(row, length)`` with unique rows and 1 <= length <= window ->
     ``(row, bin)``; a bin is named after one of its rows. ``task_rows``: rows
@@ -229,18 +266,20 @@ def pack(pieces: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) ->
     placed = [pieces.filter(F.col("length") * 2 > window).select("row", "length", F.col("row").alias("bin"))]
     gaps = placed[0].select("bin", (window - F.col("length")).alias("gap")).filter("gap > 0")
     left = pieces.filter(F.col("length") * 2 <= window).select("row", "length")
-    room = gaps.count()
+    sizes = gap_sizes(gaps)
     while True:
         size = left.agg(F.count("*").alias("n"), F.min("length").alias("lo"), F.max("length").alias("hi")).first()
         if not size["n"]:
             break
+        edge, at_edge, n_slots = spare_slots({g: c for g, c in sizes.items() if g >= size["lo"]}, size["n"], size["hi"])
         slots = (gaps.filter(F.col("gap") >= size["lo"])
-                 .withColumn("m", F.greatest(F.lit(1), F.floor(F.col("gap") / size["hi"])).cast("int"))
+                 .withColumn("m", F.when(F.col("gap") > edge, F.greatest(F.lit(1), F.floor(F.col("gap") / size["hi"])))
+                             .when(F.col("gap") == edge, F.lit(at_edge)).otherwise(F.lit(1)).cast("int"))
                  .select("bin", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("k"), "m", "gap")
                  .select(F.lit(0).alias("kind"), F.col("bin").alias("id"),
                          F.when(F.col("k") < F.col("m"), F.lit(size["hi"]))
                          .otherwise(F.col("gap") - (F.col("m") - 1) * size["hi"]).cast("long").alias("size")))
-        n = -(-(size["n"] + room) // task_rows)
+        n = -(-(size["n"] + n_slots) // task_rows)
         rows = slots.unionByName(left.select(F.lit(1).alias("kind"), F.col("row").alias("id"),
                                              F.col("length").cast("long").alias("size")))
         order = [F.col("size").desc(), F.col("kind"), F.col("id")]
@@ -272,8 +311,8 @@ def pack(pieces: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) ->
                 .groupBy("bin").agg(F.sum("gap").alias("gap")).filter("gap > 0"))
         gaps = materialize(gaps, "gaps")
         left = materialize(rest.select(F.col("id").alias("row"), F.col("size").alias("length")), "left")
-        state = gaps.agg(F.max("gap").alias("hi"), F.count("*").alias("n")).first()
-        largest, room = state["hi"] or 0, state["n"]
+        sizes = gap_sizes(gaps)
+        largest = max(sizes, default=0)
         hopeless = left.filter(F.col("length") > largest)
         top = hopeless.agg(F.max("length").alias("length"), F.count("*").alias("n")).first()
         if top["n"]:
@@ -283,7 +322,10 @@ def pack(pieces: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) ->
             opened = materialize(new.repartitionByRange(-(-top["n"] // task_rows), *order).sortWithinPartitions(*order)
                                  .mapInArrow(_fill(window), "row long, length long, bin long"), "opened")
             placed.append(opened)
-            gaps = gaps.unionByName(opened.groupBy("bin").agg((window - F.sum("length")).alias("gap")).filter("gap > 0"))
+            new_gaps = opened.groupBy("bin").agg((window - F.sum("length")).alias("gap")).filter("gap > 0")
+            for g, c in gap_sizes(new_gaps).items():
+                sizes[g] = sizes.get(g, 0) + c
+            gaps = gaps.unionByName(new_gaps)
             left = left.filter((F.col("length") <= largest) | (_class(F.col("length"), window) != top_class))
     out = placed[0]
     for t in placed[1:]:

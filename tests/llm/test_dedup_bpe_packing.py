@@ -141,7 +141,6 @@ def check_packed(rows, texts, window=2048):
     """All contract points of packed pieces; the number of sequences."""
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     by_doc, by_seq = {}, {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
@@ -199,6 +198,26 @@ def test_packing_sizes(spark, sizes):
     assert len(fill) <= 1.05 * bound + 4 + len(sizes) // 97
 
 
+def test_packing_added_tokens(spark):
+    """Strings of the file's added token get its id, as in the library."""
+    r = random.Random(8)
+    texts = {i: "".join(r.choice(["<|endoftext|>", "<|endof", " a", "\n", "text|>", "  ", "é"]) for _ in range(r.randint(1, 30)))
+             for i in range(80)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check_packed(packing.pack_documents(df, Q.tokenizer_file("byte_bpe_50k.json"), P.PATTERN).collect(), texts)
+
+
+def test_packing_offers_no_more_slots_than_needed(spark):
+    # many open windows and few tiny pieces
+    assert packing.spare_slots({948: 4000}, 3, 1) == (948, 2, 8000)
+    assert packing.spare_slots({948: 2, 500: 3, 4: 9}, 400, 5) == (500, 9, 14 + 2 * 188 + 3 * 8)
+    assert packing.spare_slots({948: 2, 500: 3, 4: 9}, 420, 5) == (500, 16, 14 + 2 * 188 + 3 * 15)
+    assert packing.spare_slots({9: 2, 4: 9}, 100, 5) == (0, 1, 11)
+    df = spark.createDataFrame(list(enumerate([1100] * 400 + [1] * 3)), "row long, length long")
+    got = packing.pack(df, task_rows=97).collect()
+    assert len(got) == 403 and len({r.bin for r in got}) == 400
+
+
 def test_sweep_and_carry():
     kind, size = np.array([0, 1, 0, 0, 1, 1, 1, 1]), np.array([9, 9, 8, 8, 7, 7, 7, 6])
     assert packing.match_sorted(kind, size).tolist() == [-1, 0, -1, -1, 3, 2, -1, -1]
