@@ -13,8 +13,10 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldcraft.functions.text import cell_tokens
 
@@ -216,17 +218,66 @@ def linear_scorer(weights: Sequence[float], bias: float = 0.0) -> Callable[[Colu
     return score
 
 
+#: weights (inputs x outputs) and biases of a dense layer
+Layer = tuple[np.ndarray, np.ndarray]
+
+
+def mlp_layers(table: DataFrame) -> list[Layer]:
+    """Dense layers from a weights table ``(layer, i, j, w)``: input ``i`` to output
+    ``j``, ``i`` = -1 for the bias. A few thousand rows, by the layers' sizes."""
+    got: dict[int, list] = {}
+    for r in table.collect():
+        got.setdefault(r["layer"], []).append((r["i"], r["j"], r["w"]))
+    out = []
+    for layer in sorted(got):
+        rows = got[layer]
+        w = np.zeros((2 + max(i for i, _, _ in rows), 1 + max(j for _, j, _ in rows)))
+        for i, j, x in rows:
+            w[i, j] = x  # the bias is the last row
+        out.append((w[:-1], w[-1]))
+    return out
+
+
+def mlp_scores(df: DataFrame, layers: Sequence[Layer], query: str, key: str, name: str) -> DataFrame:
+    """``df`` with a score per row: dense layers over ``[q, k, q - k, q * k]``, sigmoid
+    after each but the last. Whole Arrow batches go through matrix products; a row
+    without a query or key vector gets null."""
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
+    layers = [(np.asarray(w, float), np.asarray(b, float)) for w, b in layers]
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for batch in batches:
+            q, k = batch.column(query), batch.column(key)
+            ok = np.flatnonzero(np.asarray(pc.and_(q.is_valid(), k.is_valid())))
+            score = np.full(batch.num_rows, np.nan)
+            if len(ok):
+                a, b = (np.asarray(pc.list_flatten(c.take(pa.array(ok)))).reshape(len(ok), -1) for c in (q, k))
+                x = np.hstack([a, b, a - b, a * b])
+                for at, (w, bias) in enumerate(layers):
+                    x = x @ w + bias
+                    if at < len(layers) - 1:
+                        x = 0.5 * (1.0 + np.tanh(0.5 * x))
+                score[ok] = x[:, 0]
+            yield pa.record_batch([*batch.columns, pa.array(score, mask=np.isnan(score))], [*batch.schema.names, name])
+
+    return df.mapInArrow(run, schema)
+
+
 def attention_pool(df: DataFrame, emb: DataFrame, query_field: str, cell: str, n: int,
                    row_id: str = "row_id", query_no: int = 0, key_no: int = 1,
-                   missing: str = "-1", scorer: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+                   missing: str = "-1", scorer: Callable[[Column, Column], Column] | None = None,
+                   mlp: Sequence[Layer] | None = None) -> DataFrame:
     """Target attention: the query field's vector scores each token vector of
-    the multi-valued cell by ``scorer(q, k)`` (default ``q.k / sqrt(dim)``);
-    softmax over the row's
-    tokens (padding slots are masked out, so they get no weight); output the
-    weighted sum of token vectors, zeros for an empty cell."""
+    the multi-valued cell by ``scorer(q, k)`` (default ``q.k``) or by the dense
+    layers ``mlp`` (see :func:`mlp_scores`), divided by ``sqrt(dim)``; softmax over
+    the row's tokens (padding slots are masked out, so they get no weight); output
+    the weighted sum of token vectors, zeros for an empty cell."""
     dim = len(emb.first()["vec"])
     zero = F.array_repeat(F.lit(0.0), dim)
-    score = scorer or (lambda a, b: vdot(a, b) * F.lit(1.0 / math.sqrt(dim)))
+    score = scorer or vdot
+    scale = F.lit(1.0 / math.sqrt(dim))
     q = emb.select(F.col("vec_id").alias("_qid"), F.col("vec").alias("_q"))
     # as in mean_pool: rows partitioned on the row id before the explode; the
     # query vector rides along with the row's tokens, so each score is
@@ -236,8 +287,12 @@ def attention_pool(df: DataFrame, emb: DataFrame, query_field: str, cell: str, n
             .select(row_id, "_qid", F.explode_outer("_ts").alias("_t"))
             .join(q, "_qid", "left")
             .withColumn("vec_id", vec_id(F.col("_t").try_cast("long"), key_no, n))
-            .join(emb, "vec_id", "left")
-            .select(row_id, "vec", score(F.col("_q"), F.col("vec")).alias("_sc")))
+            .join(emb, "vec_id", "left"))
+    if mlp:
+        ex = mlp_scores(ex.select(row_id, F.col("_q").alias("q"), "vec"), mlp, "q", "vec", "_sc")
+        ex = ex.select(row_id, "vec", (F.col("_sc") * scale).alias("_sc"))
+    else:
+        ex = ex.select(row_id, "vec", (score(F.col("_q"), F.col("vec")) * scale).alias("_sc"))
     g = ex.groupBy(row_id).agg(F.max("_sc").alias("_mx"),
                                F.collect_list(F.when(F.col("_sc").isNotNull(), F.struct("_sc", "vec"))).alias("_kv"))
     # one pass over the row's tokens: running (sum of weights, weighted sum)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -121,14 +122,11 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
 def stratified_split(df: DataFrame, id_col: str, label: str = "label", test_frac: float = 0.2,
                      seed: int = 2018, name: str = "part") -> DataFrame:
     """Per label, the ``ceil(test_frac * n_label)`` rows first in hash order
-    go to 'test', the rest to 'train' (exact per-class proportions)."""
-    h = df.withColumn("_h", mult_hash(id_col, seed))
-    r = rank_within(h, [label], ["_h", id_col], "_r")
-    sizes = df.groupBy(F.col(label).alias("_kl")).agg(F.count(F.lit(1)).alias("_nl"))
-    r = r.join(sizes, F.col(label).eqNullSafe(F.col("_kl"))).drop("_kl")
-    cut = F.ceil(F.col("_nl") * F.lit(test_frac))
-    return r.withColumn(name, F.when(F.col("_r") < cut, "test").otherwise("train")) \
-            .drop("_h", "_r", "_nl")
+    go to 'test', the rest to 'train' (exact per-class proportions); nothing is
+    sorted, see ``operators.sampling``."""
+    from fieldcraft.operators.sampling import folds_by_rank
+    out = folds_by_rank(df, id_col, lambda n: [math.ceil(n * test_frac)], label, seed, "_behind")
+    return out.withColumn(name, F.when(F.col("_behind") == 0, "test").otherwise("train")).drop("_behind")
 
 
 # ------------------------------------------------------------------ P11 / P12

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from fieldcraft.functions.ordered import numbered
 from fieldcraft.functions.text import cross_key, tokens
+from fieldcraft.operators.prep import rank_within
 from fieldcraft.session import broadcast_limit, materialize
 
 ALL_FOLDS = -1
@@ -109,19 +110,35 @@ def smoothed_rate(train: DataFrame, target: DataFrame, keys: Sequence[str], name
     left-joined to ``target``; unseen key -> ``alpha/(alpha+beta)``; output
     ``bround(scale * rate, digits)``. ``fit_prior`` re-estimates alpha, beta
     by fixed-point iteration (T02) from the per-key counts."""
-    keys = list(keys)
-    st = (train.groupBy(*keys)
-               .agg(F.sum(F.when(F.col(label) > 0, 1).otherwise(0)).alias("_s"),
-                    F.count(F.lit(1)).alias("_n")))
+    st = rate_counts(train, keys, label)
+    alpha, beta = (1.0 if x is None else x for x in (alpha, beta))
     if fit_prior:
-        pr = beta_prior_fpi(key_histogram(st, (), "_n", "_s"), (), n="_n", c="_s", iters=iters, eps=eps,
-                            alpha0=alpha or 1.0, beta0=beta or 1.0).first()
-        alpha, beta = (pr["alpha"], pr["beta"]) if pr else (alpha or 1.0, beta or 1.0)
+        alpha, beta = rate_prior(st, alpha, beta, iters, eps)
+    return apply_rate(target, st, keys, name, alpha, beta, scale, digits)
+
+
+def rate_counts(train: DataFrame, keys: Sequence[str], label: str = "label") -> DataFrame:
+    """``keys..., _s, _n``: positives and rows per key."""
+    return train.groupBy(*keys).agg(F.sum(F.when(F.col(label) > 0, 1).otherwise(0)).alias("_s"),
+                                    F.count(F.lit(1)).alias("_n"))
+
+
+def rate_prior(counts: DataFrame, alpha: float = 1.0, beta: float = 1.0, iters: int = 1000,
+               eps: float = 1e-3) -> tuple[float, float]:
+    """Prior fitted to the counts of all keys."""
+    pr = beta_prior_fpi(key_histogram(counts, (), "_n", "_s"), (), n="_n", c="_s", iters=iters, eps=eps,
+                        alpha0=alpha, beta0=beta).first()
+    return (pr["alpha"], pr["beta"]) if pr else (alpha, beta)
+
+
+def apply_rate(target: DataFrame, counts: DataFrame, keys: Sequence[str], name: str, alpha: float, beta: float,
+               scale: float = 100.0, digits: int = 8) -> DataFrame:
+    """``target`` with the smoothed rate of its key; an unseen key gets the prior's mean."""
+    keys = list(keys)
     a, b = F.lit(float(alpha)), F.lit(float(beta))
     rate = (F.col("_s") + a) / (F.col("_n") + a + b)
-    prior = a / (a + b)
-    return (target.join(st.withColumn("_r", rate).select(*keys, "_r"), keys, "left")
-                  .withColumn(name, F.bround(F.lit(scale) * F.coalesce(F.col("_r"), prior), digits))
+    return (target.join(counts.withColumn("_r", rate).select(*keys, "_r"), keys, "left")
+                  .withColumn(name, F.bround(F.lit(scale) * F.coalesce(F.col("_r"), a / (a + b)), digits))
                   .drop("_r"))
 
 
@@ -186,16 +203,33 @@ def oof_smoothed_rate(df: DataFrame, pairs: Sequence[Sequence[str]], keep: Seque
     grouped fixed-point iteration. Output: ``keep`` columns + one
     ``<a>_<b>_stas`` column per pair; keyed by the input rows (no join on
     non-unique ids)."""
-    keep = list(keep)
+    stats, pri = oof_rate_state(df, pairs, is_train, fold, label, alpha, beta, fit_prior, iters, eps)
+    return apply_oof_rate(df, stats, pri, pairs, keep, is_train, fold, alpha, beta, scale, digits)
+
+
+def oof_rate_state(df: DataFrame, pairs: Sequence[Sequence[str]], is_train: Column, fold: str = "fold",
+                   label: str = "label", alpha: float = 1.0, beta: float = 1.0, fit_prior: bool = False,
+                   iters: int = 1000, eps: float = 1e-3) -> tuple[DataFrame, DataFrame | None]:
+    """What is fitted: the statistics outside each fold of every pair's keys, and
+    with ``fit_prior`` the priors per pair and fold, both written."""
     used = [c for p in pairs for c in p]
-    base = df.select(*dict.fromkeys([*keep, *used, fold, label]), is_train.alias("_train"))
-    long = _stack_keys(base, pairs, keep + [c for c in (fold, label) if c not in keep] + ["_train"])
+    base = df.select(*dict.fromkeys([*used, fold, label]), is_train.alias("_train"))
+    long = _stack_keys(base, pairs, [fold, label, "_train"])
     stats = materialize(leave_fold_out_stats(long, ["pair", "key"], fold, F.col("_train"), label), "outside")
-    if fit_prior:
-        pri = materialize(beta_prior_fpi(leave_fold_out_histogram(stats), ["pair", "lk_fold"], iters=iters, eps=eps,
-                                         alpha0=alpha, beta0=beta), "priors")
-    else:
-        pri = None
+    if not fit_prior:
+        return stats, None
+    return stats, materialize(beta_prior_fpi(leave_fold_out_histogram(stats), ["pair", "lk_fold"], iters=iters,
+                                             eps=eps, alpha0=alpha, beta0=beta), "priors")
+
+
+def apply_oof_rate(df: DataFrame, stats: DataFrame, pri: DataFrame | None, pairs: Sequence[Sequence[str]],
+                   keep: Sequence[str], is_train: Column, fold: str = "fold", alpha: float = 1.0, beta: float = 1.0,
+                   scale: float = 100.0, digits: int = 8) -> DataFrame:
+    """``keep`` and one rate per pair: training rows read the statistics outside
+    their fold, other rows those of all folds."""
+    keep = list(keep)
+    used = [c for p in pairs for c in p]
+    base = df.select(*dict.fromkeys([*keep, *used, fold]), is_train.alias("_train"))
     rows = _with_lookup_fold(base, stats, fold)
     lookups = _pair_lookups(stats)
     for p in pairs:
@@ -339,7 +373,8 @@ def contig_fold_token_max(train: DataFrame, others: DataFrame, cell: str, order:
     ``mode='rate'`` (T08): ``b = n // distinct tokens``, ``a = b / 20``;
     token value = (a + pos) / (b + cnt), unseen 0.05; row = max.
     Training rows count the other contiguous folds, hold-out tail and other
-    rows count the whole head. Output ``keep`` + ``<cell>_<mode>_max``."""
+    rows count the whole head. A null cell has no tokens: its row gets the value
+    of an unseen token. Output ``keep`` + ``<cell>_<mode>_max``."""
     keep = list(keep)
     tf = contiguous_fold(train.select(*keep, *[c for c in (order, cell, label) if c not in keep]),
                          order, k, holdout)
@@ -347,7 +382,8 @@ def contig_fold_token_max(train: DataFrame, others: DataFrame, cell: str, order:
     allrows = (tf.select(*keep, cell, F.when(F.col("cfold") >= 0, F.col("cfold"))
                          .otherwise(F.lit(-1)).alias("lk"))
                  .unionByName(others.select(*keep, cell, F.lit(-1).alias("lk"))))
-    rt = allrows.select(*keep, "lk", F.posexplode(tokens(cell, sep)).alias("tpos", "tok"))
+    # a null cell keeps its row, as one without any known token
+    rt = allrows.select(*keep, "lk", F.posexplode_outer(tokens(cell, sep)).alias("tpos", "tok"))
     j = rt.join(stats, ["tok", "lk"], "left")
     name = f"{cell}_{mode}_max"
     if mode == "pos":
@@ -437,3 +473,60 @@ def user_item_lists(df: DataFrame, is_train: Column, order: str = "row_id", user
                     F.array_join(F.transform("p", lambda x: x["v"]), " ").alias("pos_aid"),
                     F.array_join(F.transform("q", lambda x: x["v"]), " ").alias("neg_aid"),
                     F.when(np_ + nq > 0, np_ / (np_ + nq)).otherwise(F.lit(-1.0)).alias("uid_convert"))
+
+
+# ---------------------------------------------------------------- T09 / A14 in segments
+SEGMENT = 1000
+
+
+def ranked_items(df: DataFrame, is_train: Column, order: str = "row_id", user: str = "uid", item: str = "aid",
+                 label: str = "label") -> DataFrame:
+    """Training rows as list entries, written once: ``(user, side, at, item)``, ``side``
+    pos or neg and ``at`` the entry's place in its user's list of that side. Places
+    come from global positions, so a user with a third of all rows is numbered by many
+    tasks."""
+    rows = df.filter(is_train).select(
+        F.col(user).alias("user"), F.when(F.col(label) > 0, "pos").otherwise("neg").alias("side"),
+        F.col(order).alias("o"), F.col(item).cast("string").alias("item"))
+    return materialize(rank_within(rows, ["user", "side"], ["o", "item"], "at").drop("o"), "list-entries")
+
+
+def list_segments(entries: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """Lists cut into segments of at most ``segment`` items: ``(user, side, segment,
+    items, n)``. No row is longer than a segment, whatever the user's history."""
+    return (entries.withColumn("segment", F.floor(F.col("at") / segment).cast("long"))
+            .groupBy("user", "side", "segment")
+            .agg(F.sort_array(F.collect_list(F.struct("at", "item"))).alias("_e"), F.count(F.lit(1)).alias("n"))
+            .select("user", "side", "segment", F.transform("_e", lambda e: e["item"]).alias("items"), "n"))
+
+
+def list_positions(df: DataFrame, entries: DataFrame, segments: DataFrame, keep: Sequence[str], is_train: Column,
+                   user: str = "uid", item: str = "aid") -> DataFrame:
+    """Per row what its lists are, without the lists: ``keep, user, pos_num, neg_num``
+    (own item left out), ``pos_skip, neg_skip`` (the place of a training row's own item
+    in either list, null if it is not there) and ``uid_convert``."""
+    sizes = segments.groupBy("user").agg(*[
+        F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0)).alias(f"_{s}") for s in ("pos", "neg")])
+    own = entries.groupBy(F.col("user").alias("_u"), F.col("item").alias("_i")).agg(*[
+        F.min(F.when(F.col("side") == s, F.col("at"))).alias(f"_{s}_at") for s in ("pos", "neg")])
+    rows = df.select(*keep, F.col(user).alias("user"), F.col(item).cast("string").alias("_item"), is_train.alias("_train"))
+    j = (rows.join(sizes.withColumnRenamed("user", "_us"), F.col("user").eqNullSafe(F.col("_us")), "left")
+         .join(own, F.col("user").eqNullSafe(F.col("_u")) & F.col("_item").eqNullSafe(F.col("_i")), "left"))
+    skip = {s: F.when(F.col("_train"), F.col(f"_{s}_at")) for s in ("pos", "neg")}
+    num = {s: F.coalesce(F.col(f"_{s}"), F.lit(0)) - skip[s].isNotNull().cast("int") for s in ("pos", "neg")}
+    total = num["pos"] + num["neg"]
+    return j.select(*keep, "user", num["pos"].cast("long").alias("pos_num"), num["neg"].cast("long").alias("neg_num"),
+                    skip["pos"].alias("pos_skip"), skip["neg"].alias("neg_skip"),
+                    F.when(total > 0, num["pos"] / total).otherwise(F.lit(-1.0)).alias("uid_convert"))
+
+
+def read_lists(positions: DataFrame, segments: DataFrame, keep: Sequence[str], segment: int = SEGMENT) -> DataFrame:
+    """The lists of each row, segment by segment: ``keep, side, segment, items``, its
+    own item left out at its place. Rows of users without entries have none."""
+    skip = F.when(F.col("side") == "pos", F.col("pos_skip")).otherwise(F.col("neg_skip")) - F.col("segment") * segment
+    at = F.col("_skip").cast("int")
+    rest = F.when((at >= 0) & (at < F.size("items")), F.concat(
+        F.slice("items", F.lit(1), at), F.slice("items", at + 2, F.size("items")))).otherwise(F.col("items"))
+    s = segments.withColumnRenamed("user", "_u")
+    return (positions.join(s, F.col("user").eqNullSafe(F.col("_u"))).withColumn("_skip", skip)
+            .select(*keep, "side", "segment", rest.alias("items")))

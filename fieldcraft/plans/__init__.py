@@ -13,6 +13,7 @@ def load_all():
         q_models,
         q_prep,
         q_target,
+        q_trained,
     )
     from fieldcraft.plans.registry import ORACLE, QUERIES
     return QUERIES, ORACLE
