@@ -14,7 +14,7 @@ import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,6 +113,17 @@ def summarize(v: Column, prefix: str = "") -> list[Column]:
 
 
 # ------------------------------------------------------------------ N01
+def dimension_sums(vec: str, dim: int, weight: Column | None = None) -> list[Column]:
+    """One sum per dimension of a vector column, weighted; combined map-side, no
+    vector is collected."""
+    w = F.lit(1.0) if weight is None else weight
+    return [F.sum(F.get(vec, i) * w).alias(f"_d{i}") for i in range(dim)]
+
+
+def from_dimensions(dim: int, scale: Column) -> Column:
+    return F.array(*[F.col(f"_d{i}") * scale for i in range(dim)])
+
+
 def mean_pool(df: DataFrame, emb: DataFrame, cell: str, n: int, field_no: int = 0,
               row_id: str = "row_id", width: int | None = None, pad: str = "zero",
               missing: str = "-1") -> DataFrame:
@@ -134,10 +145,9 @@ def mean_pool(df: DataFrame, emb: DataFrame, cell: str, n: int, field_no: int =
             .select(row_id, F.explode_outer("_ts").alias("_t"))
             .withColumn("vec_id", vec_id(F.col("_t").try_cast("long"), field_no, n))
             .join(emb, "vec_id", "left"))
-    g = ex.groupBy(row_id).agg(F.aggregate(F.collect_list("vec"), zero, lambda acc, v: vadd(acc, v)).alias("_s"),
-                               F.count("vec").alias("_k"))
+    g = ex.groupBy(row_id).agg(*dimension_sums("vec", dim), F.count("vec").alias("_k"))
     den = F.lit(float(width)) if pad == "zero" else F.col("_k").cast("double")
-    pooled = F.when(F.col("_k") > 0, vscale(F.col("_s"), F.lit(1.0) / den)).otherwise(zero)
+    pooled = F.when(F.col("_k") > 0, from_dimensions(dim, F.lit(1.0) / den)).otherwise(zero)
     return g.select(row_id, pooled.alias("pooled"))
 
 
@@ -197,10 +207,11 @@ def ffm_interaction(df: DataFrame, emb: DataFrame, fields: Sequence[str], n: int
     nf = len(fields)
     used = [(i, k) for i in range(nf) for k in range(nf) if include_self or i != k]
     long = _lookup_long(df, emb, [(fields[i], i * nf + k) for i, k in used], hashed(n), None, keep)
-    rows = long.groupBy(*keep).agg(F.map_from_entries(F.collect_list(F.struct("_at", "vec"))).alias("_v"))
+    rows = long.groupBy(*keep).agg(*[F.max_by("vec", F.when(F.col("_at") == p, 1)).alias(f"_v{p}")
+                                     for p in range(len(used))])
     zero = F.array_repeat(F.lit(0.0), len(emb.first()["vec"]))
     at = {p: i for i, p in enumerate(used)}
-    vec = lambda i, k: F.try_element_at("_v", F.lit(at[i, k]))
+    vec = lambda i, k: F.col(f"_v{at[i, k]}")
     term = lambda i, k: F.coalesce(vmul(vec(i, k), vec(k, i)), zero)
     pair = [(i, k) for i in range(nf) for k in range(i if include_self else i + 1, nf)]
     if not per_field:
@@ -293,12 +304,10 @@ def attention_pool(df: DataFrame, emb: DataFrame, query_field: str, cell: str, n
         ex = ex.select(row_id, "vec", (F.col("_sc") * scale).alias("_sc"))
     else:
         ex = ex.select(row_id, "vec", (score(F.col("_q"), F.col("vec")) * scale).alias("_sc"))
-    g = ex.groupBy(row_id).agg(F.max("_sc").alias("_mx"),
-                               F.collect_list(F.when(F.col("_sc").isNotNull(), F.struct("_sc", "vec"))).alias("_kv"))
-    # one pass over the row's tokens: running (sum of weights, weighted sum)
-    acc0 = F.struct(F.lit(0.0).alias("w"), zero.alias("s"))
-    step = lambda acc, e: F.struct((acc["w"] + F.exp(e["_sc"] - F.col("_mx"))).alias("w"),
-                                   vadd(acc["s"], vscale(e["vec"], F.exp(e["_sc"] - F.col("_mx")))).alias("s"))
-    pooled = F.aggregate("_kv", acc0, step, lambda acc: vscale(acc["s"], F.lit(1.0) / acc["w"]))
-    att = F.when(F.size("_kv") > 0, pooled).otherwise(zero)
+    # the row's largest score, over its own tokens, keeps the exponentials finite
+    top = F.max("_sc").over(Window.partitionBy(row_id))
+    w = F.coalesce(F.exp(F.col("_sc") - top), F.lit(0.0))
+    g = ex.withColumn("_w", w).groupBy(row_id).agg(
+        *dimension_sums("vec", dim, F.col("_w")), F.sum("_w").alias("_t"), F.count("_sc").alias("_k"))
+    att = F.when(F.col("_k") > 0, from_dimensions(dim, F.lit(1.0) / F.col("_t"))).otherwise(zero)
     return g.select(row_id, att.alias("att"))

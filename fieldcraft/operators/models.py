@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from fieldcraft.functions.text import cell_tokens
 from fieldcraft.operators.evaluate import exact_auc
+from fieldcraft.operators.search import run as tpe_run
 from fieldcraft.session import materialize
 
 
@@ -119,19 +120,25 @@ def candidates(space: dict[str, list], evals: int = 4, seed: int = 2018) -> list
 
 
 def search(rows: DataFrame, train: str = "is_train", valid: str = "is_valid", label: str = "label",
-           space: dict[str, list] | None = None, evals: int = 4, seed: int = 2018) -> DataFrame:
-    """Fit one booster per draw on the assembled training rows, stopping early on
-    the validation rows; one row per draw: its parameters, the number of trees
-    kept and the exact AUC on training and validation rows. ``leaves`` l becomes
-    depth ceil(log2(l))."""
-    out = []
+           space: dict[str, list] | None = None, evals: int = 4, seed: int = 2018, parallel: int = 2) -> DataFrame:
+    """Sequential search: Parzen proposals from the trials finished so far
+    (``operators.search``), ``parallel`` boosters fitted at a time on the assembled
+    training rows, each stopping early on the validation rows; one row per trial: its
+    parameters, the number of trees kept and the exact AUC on training and validation
+    rows. ``leaves`` l becomes depth ceil(log2(l))."""
     fit_on = rows.filter(F.col(train) | F.col(valid))
-    for i, c in enumerate(candidates(space or SPACE, evals, seed)):
+    seen: dict[tuple, tuple] = {}
+
+    def evaluate(c: dict) -> float:
         clf = gbt(max_iter=c["trees"], step=c["step"], subsample=c["subsample"],
                   min_instances=c["min_instances"], max_depth=(c["leaves"] - 1).bit_length(),
                   validation_col=valid, label=label, seed=seed)
         model, pred = fit_score(fit_on, fit_on, clf, [train, valid, label])
         auc = {r[train]: r["auc"] for r in exact_auc(pred, label=label, group=[train]).collect()}
-        out.append((i, "; ".join(f"{k}={v}" for k, v in c.items()), model.getNumTrees, auc.get(True), auc.get(False)))
+        seen[tuple(c.items())] = (model.getNumTrees, auc.get(True), auc.get(False))
+        return auc.get(False)
+
+    trials = tpe_run(evaluate, space or SPACE, evals, parallel, seed=seed)
+    out = [(i, "; ".join(f"{k}={v}" for k, v in c.items()), *seen[tuple(c.items())]) for i, (c, _) in enumerate(trials)]
     return rows.sparkSession.createDataFrame(
         out, "candidate int, params string, trees int, train_auc double, auc double")

@@ -112,11 +112,10 @@ def pair_token_max_bounded(df: DataFrame, left: str, right: str, keep: Sequence[
 
     A pair cannot occur more often than either of its tokens meets any token of the
     other column, so the smaller of these two sums bounds its count. Pairs are
-    counted in rounds of falling bounds: a row is done once its largest count so far
-    reaches the bound below which its other pairs lie. Later rounds only look at
-    pairs of tokens that rows not yet done still hold; the last round has no lower
-    bound, so every maximum is exact. Token sums cost one aggregation of tokens, not of
-    pairs."""
+    counted in rounds of falling bounds. After each, only tokens whose bound exceeds
+    the largest count of a row that holds them can still matter; the next round
+    counts pairs of such tokens alone. The last round has no lower bound, so every
+    maximum is exact. Token sums cost one aggregation of tokens, not of pairs."""
     keep = list(keep)
     cells = materialize(df.select(*keep, *[F.coalesce(tokens(c, s), F.array().cast("array<string>")).alias(a)
                                            for c, s, a in ((left, left_sep, "_l"), (right, right_sep, "_r"))]), "cells")
@@ -130,37 +129,32 @@ def pair_token_max_bounded(df: DataFrame, left: str, right: str, keep: Sequence[
     name = f"{left}_{right}_pair_max"
     total = cells.agg(F.sum(F.size(F.array_distinct("_l")).cast("long") * F.size(F.array_distinct("_r")))).first()[0] or 0
     top = held.agg(F.max("b")).first()[0] or 0
-    best, counted, above, open_rows = None, 0, top + 1, None
-
-    def sides(some: DataFrame) -> DataFrame:
-        part = lambda s: F.collect_list(F.when(F.col("side") == s, F.struct("tok", "p", "b")))
-        return some.groupBy(*keep).agg(part("l").alias("l"), part("r").alias("r"))
 
     def pairs(some: DataFrame, low: int, high: int) -> DataFrame:
+        """The rows' distinct pairs whose bound is at least ``low`` and below ``high``."""
+        part = lambda s: F.collect_list(F.when(F.col("side") == s, F.struct("tok", "p", "b")))
         cross = F.flatten(F.transform(F.filter("l", lambda a: a["b"] >= low), lambda a: F.transform(
             F.filter("r", lambda b: (b["b"] >= low) & (F.least(a["b"], b["b"]) < high)),
             lambda b: F.struct(a["tok"].alias("x"), b["tok"].alias("y"), (a["p"] * b["p"]).alias("n")))))
-        return some.select(*keep, F.explode(cross).alias("_e")).select(*keep, "_e.*")
+        return (some.groupBy(*keep).agg(part("l").alias("l"), part("r").alias("r"))
+                .select(*keep, F.explode(cross).alias("_e")).select(*keep, "_e.*"))
 
+    best, counted, above, could, some = None, 0, top + 1, held, held
     for k in range(rounds):
         low = 0 if k == rounds - 1 else top // factor ** (k + 1)
-        some = held
-        if open_rows is not None:
-            need = held.join(open_rows, keep, "left_semi").select("side", "tok").distinct()
-            some = held.join(need, ["side", "tok"], "left_semi")
-        found = pairs(sides(some), low, above)
-        counts = materialize(found.groupBy("x", "y").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("rows")), "pairs")
+        counts = materialize(pairs(some, low, above).groupBy("x", "y").agg(
+            F.sum("n").alias("c"), F.count(F.lit(1)).alias("rows")), "pairs")
         counted += counts.agg(F.sum("rows")).first()[0] or 0
-        mine = found if open_rows is None else pairs(sides(held.join(open_rows, keep, "left_semi")), low, above)
-        now = mine.join(counts.drop("rows"), ["x", "y"]).groupBy(*keep).agg(F.max("c").alias("c"))
+        now = pairs(could, low, above).join(counts.drop("rows"), ["x", "y"]).groupBy(*keep).agg(F.max("c").alias("c"))
         best = materialize(now if best is None else best.unionByName(now).groupBy(*keep).agg(F.max("c").alias("c")), "best")
         above = low
         if low == 0:
             break
-        done = best.filter(F.col("c") >= low).select(*keep)
-        open_rows = materialize(held.select(*keep).distinct().join(done, keep, "left_anti"), "open")
-        if open_rows.isEmpty():
-            break
+        # tokens that can still raise their row's maximum, by a pair bounded below ``low``
+        could = materialize(held.join(best, keep, "left").filter(F.col("b") > F.coalesce("c", F.lit(0)))
+                            .filter(F.coalesce("c", F.lit(0)) < low).drop("c"), "could")
+        need = could.select("side", "tok").distinct()
+        some = held.join(need, ["side", "tok"], "left_semi")
     out = (cells.select(*keep).join(best, keep, "left")
            .select(*keep, F.coalesce("c", F.lit(0)).cast("long").alias(name)))
     return out, (counted / total if total else 0.0)

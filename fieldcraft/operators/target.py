@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from fieldcraft.functions.ordered import numbered
 from fieldcraft.functions.text import cross_key, tokens
 from fieldcraft.operators.prep import rank_within
-from fieldcraft.session import broadcast_limit, materialize
+from fieldcraft.session import broadcast_if_small, broadcast_limit, materialize
 
 ALL_FOLDS = -1
 
@@ -320,13 +320,14 @@ def token_noisy_or(df: DataFrame, cell: str, row_id: str, is_train: Column, keep
               .agg(F.count(F.lit(1)).alias("cnt"),
                    F.sum(F.when(F.col(label) > 0, 1).otherwise(0)).alias("pos"))
               .filter(F.col("pos") > 0))
+    st = materialize(st, "token-counts")  # read for the prior and for the rows
     if fit_prior:
         pr = beta_prior_fpi(key_histogram(st, (), "cnt", "pos"), (), n="cnt", c="pos", iters=iters, eps=eps,
                             alpha0=alpha, beta0=beta).first()
         alpha, beta = (pr["alpha"], pr["beta"]) if pr else (alpha, beta)
     a, b = F.lit(float(alpha)), F.lit(float(beta))
     factor = F.lit(1.0) - (F.col("pos") + a) / (F.col("cnt") + a + b)
-    per_row = (toks.join(st, "tok")
+    per_row = (toks.join(broadcast_if_small(st), "tok")
                    .groupBy(row_id).agg(F.sum(F.log(factor)).alias("_ls")))
     name = f"{cell}_score"
     return (base.join(per_row, row_id, "left")

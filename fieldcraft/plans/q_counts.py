@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from fieldcraft.operators import counts as C
@@ -177,23 +179,37 @@ def rare_to_minus1(spark, d):
 CROSS_PAIRS = [("campaignId", "lbs"), ("advertiserId", "gender"), ("creativeSize", "ability")]
 
 
-def _cross_sql():
+def _cross_sql(pairs):
     ctes, sel = [], []
-    for a, b in CROSS_PAIRS:
+    for a, b in pairs:
         n = f"{a}_{b}"
         ctes.append(f"{n}_v AS (SELECT row_id, CAST({a} AS VARCHAR) || '_' || CAST({b} AS VARCHAR) AS v FROM m)")
         ctes.append(f"{n}_r AS (SELECT row_id, CASE WHEN count(*) OVER (PARTITION BY v) < {THRESHOLD} "
                     f"THEN '-1' ELSE v END AS r FROM {n}_v)")
         ctes.append(f"{n}_e AS (SELECT row_id, dense_rank() OVER (ORDER BY r) - 1 AS e FROM {n}_r)")
         sel.append(f"{n}_e.e AS {n}")
-    joins = " ".join(f"JOIN {a}_{b}_e USING (row_id)" for a, b in CROSS_PAIRS)
+    joins = " ".join(f"JOIN {a}_{b}_e USING (row_id)" for a, b in pairs)
     return ", " + ",\n".join(ctes) + "\nSELECT m.row_id, " + ", ".join(sel) + f" FROM m {joins}"
 
 
-@register("cross_encode", sql=_cross_sql())
+def _crossed(spark, d, pairs):
+    m = merged(spark, d).select("row_id", *sorted({c for p in pairs for c in p}))
+    return C.cross_encode(m, pairs, THRESHOLD).select("row_id", *[f"{a}_{b}" for a, b in pairs])
+
+
+@register("cross_encode", sql=_cross_sql(CROSS_PAIRS))
 def cross_encode(spark, d):
-    m = merged(spark, d).select("row_id", *sorted({c for p in CROSS_PAIRS for c in p}))
-    return C.cross_encode(m, CROSS_PAIRS, THRESHOLD).select("row_id", *[f"{a}_{b}" for a, b in CROSS_PAIRS])
+    return _crossed(spark, d, CROSS_PAIRS)
+
+
+#: every pair of the single-valued columns
+WIDE_PAIRS = list(combinations(["advertiserId", "aid", "campaignId", "creativeSize", "lbs", "gender", "ability", "uid"], 2))
+
+
+@register("cross_encode_wide", sql=_cross_sql(WIDE_PAIRS))
+def cross_encode_wide(spark, d):
+    """Twenty-eight crosses, counted and numbered in one long form."""
+    return _crossed(spark, d, WIDE_PAIRS)
 
 
 # ------------------------------------------------------------------ E01
@@ -219,7 +235,8 @@ def pair_key(spark, d):
 p2 AS (SELECT row_id, x1, unnest(string_split(adkw, ' ')) AS x2 FROM p),
 pp AS (SELECT row_id, x1 || '|' || x2 AS pair FROM p2),
 c AS (SELECT pair, count(*) AS n FROM pp GROUP BY pair)
-SELECT row_id, max(n) AS kw1_adkw_pair_max FROM pp JOIN c USING (pair) GROUP BY row_id
+SELECT m.row_id, coalesce(max(n), 0) AS kw1_adkw_pair_max FROM m LEFT JOIN pp USING (row_id) LEFT JOIN c USING (pair)
+GROUP BY m.row_id
 """)
 def pair_token_max(spark, d):
     m = merged(spark, d).select("row_id", "kw1", "adkw")

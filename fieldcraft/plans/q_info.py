@@ -13,6 +13,7 @@ from fieldcraft.plans.registry import register
 from fieldcraft.sources import fixtures as fx
 
 PMI_ATTRS = ["lbs", "gender", "ability"]
+WIDE_ATTRS = ["advertiserId", "campaignId", "creativeSize", "lbs", "gender", "ability", "uid", "adkw", "kw1"]
 NUNIQUE_COLS = ["campaignId_aid_nunique", "uid_aid_nunique", "aid_uid_nunique"]
 
 
@@ -20,11 +21,11 @@ def _bucket(expr: str, src: str) -> str:
     return f"CAST(round(least({expr} - (SELECT min({expr}) FROM {src}), 1.5) * 10) AS INTEGER)"
 
 
-def _pmi_sql():
+def _pmi_sql(attrs):
     cols = ",\n  ".join(
         f"ln(1 + count(*) OVER (PARTITION BY {a}) * count(*) OVER (PARTITION BY aid) "
-        f"/ count(*) OVER (PARTITION BY aid, {a}) / (SELECT n FROM nn)) AS new_inf_aid_{a}" for a in PMI_ATTRS)
-    sel = ", ".join(f"{_bucket(f'new_inf_aid_{a}', 'x')} AS new_inf_aid_{a}" for a in PMI_ATTRS)
+        f"/ count(*) OVER (PARTITION BY aid, {a}) / (SELECT n FROM nn)) AS new_inf_aid_{a}" for a in attrs)
+    sel = ", ".join(f"{_bucket(f'new_inf_aid_{a}', 'x')} AS new_inf_aid_{a}" for a in attrs)
     return f"""
 , nn AS (SELECT count(*) AS n FROM m),
 x AS (SELECT row_id, {cols} FROM m)
@@ -32,12 +33,19 @@ SELECT row_id, {sel} FROM x
 """
 
 
-@register("pmi_bucket", sql=_pmi_sql())
+@register("pmi_bucket", sql=_pmi_sql(PMI_ATTRS))
 def pmi_bucket(spark, d):
     m = merged(spark, d).select("row_id", "aid", *PMI_ATTRS)
     return I.pmi_single(m, "aid", PMI_ATTRS).select("row_id", *[f"new_inf_aid_{a}" for a in PMI_ATTRS])
 
 
+@register("pmi_bucket_wide", sql=_pmi_sql(WIDE_ATTRS))
+def pmi_bucket_wide(spark, d):
+    """Nine attributes from one count table."""
+    m = merged(spark, d).select("row_id", "aid", *WIDE_ATTRS)
+    return I.pmi_single(m, "aid", WIDE_ATTRS).select("row_id", *[f"new_inf_aid_{a}" for a in WIDE_ATTRS])
+
+
 def _l1pe(s):
     return f"CASE WHEN {s} > 30 THEN {s} + ln(1 + exp(-{s})) ELSE ln(1 + exp({s})) END"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from fieldcraft.operators import target as T
@@ -9,6 +11,9 @@ from fieldcraft.plans.common import is_train, KEEP, fpi_sql, log, merged, round_
 from fieldcraft.plans.registry import register
 
 OOF_PAIRS = [("campaignId", "gender"), ("advertiserId", "lbs"), ("creativeSize", "ability")]
+#: as many pairs as a full feature set crosses
+SINGLE = ["advertiserId", "campaignId", "creativeSize", "lbs", "gender", "ability"]
+WIDE_PAIRS = [*combinations(SINGLE, 2), ("aid", "gender")]
 
 
 def _key_union(pairs, cols="row_id, split, label, fold", src="m"):
@@ -63,9 +68,9 @@ def smoothed_ctr_fixed(spark, d):
 
 
 # ------------------------------------------------------------------ T03 (+P06, P11)
-def _oof_sql(fit: bool):
+def _oof_sql(fit: bool, pairs=OOF_PAIRS):
     sel = ",\n  ".join(
-        f"round(max(CASE WHEN pair = '{'_'.join(p)}' THEN v END), {FIT_DIGITS if fit else 6}) AS {'_'.join(p)}_stas" for p in OOF_PAIRS)
+        f"round(max(CASE WHEN pair = '{'_'.join(p)}' THEN v END), {FIT_DIGITS if fit else 6}) AS {'_'.join(p)}_stas" for p in pairs)
     a, b, join, prior = "1.0", "1.0", "", ""
     if fit:
         a, b = "pr.a", "pr.b"
@@ -78,7 +83,7 @@ lfo AS (SELECT tot.pair, f.fold AS lk, tot.n - coalesce(st.n, 0) AS n, tot.s - c
         UNION ALL SELECT pair, -1 AS lk, n, s FROM tot),
 hist AS (SELECT pair || '/' || lk AS g, n::DOUBLE AS n, s::DOUBLE AS s, count(*)::DOUBLE AS m FROM lfo WHERE n > 0 GROUP BY ALL),
 pr AS (SELECT * FROM {fpi_sql("hist", "g")})"""
-    return _lfo_rows_sql(OOF_PAIRS) + prior + f"""
+    return _lfo_rows_sql(pairs) + prior + f"""
 SELECT row_id, split, label,
   {sel}
 FROM (SELECT r.*, round(100 * CASE WHEN n > 0 THEN (s + {a}) / (n + {a} + {b}) ELSE {a} / ({a} + {b}) END, 8) AS v
@@ -94,6 +99,14 @@ def oof_smoothed_ctr(spark, d):
     return round_doubles(out, FIT_DIGITS)
 
 
+@register("oof_smoothed_ctr_wide", sql=_oof_sql(True, WIDE_PAIRS))
+def oof_smoothed_ctr_wide(spark, d):
+    """All sixteen pairs, their statistics counted in one aggregation."""
+    out = T.oof_smoothed_rate(merged(spark, d), WIDE_PAIRS, keep=["row_id", "split", "label"],
+                              is_train=is_train(), fit_prior=True)
+    return round_doubles(out, FIT_DIGITS)
+
+
 @register("oof_smoothed_ctr_fixed", sql=_oof_sql(False))
 def oof_smoothed_ctr_fixed(spark, d):
     out = T.oof_smoothed_rate(merged(spark, d), OOF_PAIRS, keep=["row_id", "split", "label"], is_train=is_train())
@@ -314,26 +327,39 @@ CROSS_KEYS = [["uid"], ["advertiserId", "uid"], ["campaignId", "uid"], ["creativ
 VOCAB_THRESHOLD = 100
 
 
-def _cross_sql():
-    names = ["_".join(p) for p in CROSS_KEYS]
+def _cross_sql(keys):
+    names = ["_".join(p) for p in keys]
     stack = "\n  UNION ALL ".join(
         f"SELECT row_id, '{n}_{side}_num' AS feature, CAST(CASE WHEN n > 0 THEN {expr} ELSE -1 END AS VARCHAR) AS value "
         f"FROM r WHERE pair = '{n}' AND split = 'train'"
         for n in names for side, expr in (("positive", "s"), ("negative", "n - s")))
-    return _lfo_rows_sql(CROSS_KEYS) + f""",
+    return _lfo_rows_sql(keys) + f""",
 sv AS ({stack}),
 g AS (SELECT feature, value, count(*) AS cnt, min(row_id) AS f FROM sv GROUP BY ALL HAVING count(*) >= {VOCAB_THRESHOLD})
 SELECT feature, value, cnt, CAST(row_number() OVER (PARTITION BY feature ORDER BY f) + 1 AS INTEGER) AS idx FROM g
 """
 
 
-@register("oof_pos_neg_cross", sql=_cross_sql())
-def oof_pos_neg_cross(spark, d):
+def _cross_vocab(spark, d, keys):
     from fieldcraft.operators.counts import first_seen_vocab
     m = merged(spark, d)
-    wide = T.oof_pos_neg(m, CROSS_KEYS, keep=["row_id", "split"], is_train=is_train())
-    feats = [f"{'_'.join(p)}_{s}_num" for p in CROSS_KEYS for s in ("positive", "negative")]
+    wide = T.oof_pos_neg(m, keys, keep=["row_id", "split"], is_train=is_train())
+    feats = [f"{'_'.join(p)}_{s}_num" for p in keys for s in ("positive", "negative")]
     long = wide.filter(is_train()).select(
         "row_id", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"))
                                       for f in feats])).alias("e")).select("row_id", "e.feature", "e.value")
     return first_seen_vocab(long, "value", ["row_id"], VOCAB_THRESHOLD, field="feature")
+
+
+@register("oof_pos_neg_cross", sql=_cross_sql(CROSS_KEYS))
+def oof_pos_neg_cross(spark, d):
+    return _cross_vocab(spark, d, CROSS_KEYS)
+
+
+#: the user alone and crossed with seven columns
+WIDE_KEYS = [["uid"], *[[c, "uid"] for c in ["aid", *SINGLE]]]
+
+
+@register("oof_pos_neg_cross_wide", sql=_cross_sql(WIDE_KEYS))
+def oof_pos_neg_cross_wide(spark, d):
+    return _cross_vocab(spark, d, WIDE_KEYS)

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldcraft.functions.ordered import global_position
+from fieldcraft.session import broadcast_if_small, materialize
 
 
 # ------------------------------------------------------------------ S01
@@ -105,11 +106,22 @@ def file_order_columns() -> list[Column]:
 
 def read_lines_with_position(spark: SparkSession, path: str, schema: T.StructType,
                              name: str = "pos", header: bool = False) -> DataFrame:
-    """Read a headerless CSV and number its lines 0..n-1 in file order."""
+    """Read a headerless CSV and number its lines 0..n-1 in file order. The records
+    are read and written once; each file split is counted, the counts are summed up
+    over the splits before it (one row per split), and a record's number is its
+    split's start plus its place there. Nothing is sorted but the splits."""
     df = spark.read.schema(schema).option("header", header).csv(path)
-    df = df.select("*", *file_order_columns())
-    by = ["_d", "_n", "_f", "_b", "_m"]
-    return global_position(df, by, name).drop(*by)
+    by = ["_d", "_n", "_f", "_b"]
+    # written, so both readers below see the same splits
+    rows = materialize(df.select("*", *file_order_columns(), F.spark_partition_id().alias("_p")), "lines")
+    splits = rows.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_k"), F.min("_m").alias("_m0"))
+    before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)  # over splits, not records
+    starts = splits.select("_p", "_b", F.xxhash64("_d", "_f").alias("_h"),
+                           (F.coalesce(F.sum("_k").over(before), F.lit(0)) - F.col("_m0")).alias("_shift"))
+    starts = materialize(starts, "splits")
+    return (rows.withColumn("_h", F.xxhash64("_d", "_f")).join(broadcast_if_small(starts), ["_p", "_b", "_h"])
+            .withColumn(name, (F.col("_m") + F.col("_shift")).cast("long"))
+            .drop(*by, "_m", "_p", "_h", "_shift"))
 
 
 def attach_by_position(ids: DataFrame, id_order: str, values: DataFrame,

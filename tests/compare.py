@@ -19,6 +19,15 @@ def norm(v):
     return str(v)
 
 
+def frame(df):
+    """A Spark result as pandas, whole numbers with nulls kept whole."""
+    out = df.toPandas()
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("long", "integer", "short", "byte") and out[f.name].dtype.kind in "fO":
+            out[f.name] = out[f.name].astype("Int64")
+    return out
+
+
 def rows(pdf):
     cols = sorted(pdf.columns)
     return cols, sorted("|".join(norm(x) for x in r) for r in pdf[cols].itertuples(index=False))

@@ -319,7 +319,9 @@ def test_lookup_by_vocabulary_and_linear_scorer(spark):
     w = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]
     att = N.attention_pool(cells, _emb4(spark), "q", "c", 4, scorer=N.linear_scorer(w, 0.5)).first()["att"]
     q, keys = [2.0, 0.0], [[1.0, 0.0], [2.0, 0.0]]
-    s = [sum(a * b for a, b in zip(w, [*q, *k, q[0] - k[0], q[1] - k[1], q[0] * k[0], q[1] * k[1]])) for k in keys]
+    # the constant 0.5 leaves the softmax as it is; scores are divided by the root of the dimension
+    s = [sum(a * b for a, b in zip(w, [*q, *k, q[0] - k[0], q[1] - k[1], q[0] * k[0], q[1] * k[1]])) / math.sqrt(2)
+         for k in keys]
     e = [math.exp(x - max(s)) for x in s]
     assert att == pytest.approx([(e[0] * 1 + e[1] * 2) / sum(e), 0.0])
 

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from compare import same
+from compare import frame, same
 from conftest import SMOKE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -25,7 +25,7 @@ def con():
 
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_matches_oracle(spark, con, key):
-    got = E.queries()[key](spark, SMOKE).toPandas()
+    got = frame(E.queries()[key](spark, SMOKE))
     want = con.execute(E.oracle_sql()[key]).df()
     same(got, want)
 
