@@ -4,9 +4,12 @@ Every permutation is evaluated once over a document's word shingles and gives
 two signature values, its minimum and its maximum; each agrees between two
 documents with probability equal to their Jaccard similarity. Bands of
 ``rows`` values bucket the documents. Buckets only propose: documents that
-share buckets, directly or through others, form a candidate cluster; every pair
-inside a cluster is then compared on its full shingle sets, in blocks, and the
-exact links give the components.
+share buckets, directly or through others, form a candidate cluster. Clusters of
+more than one block are taken apart first: two sets at the wanted similarity must
+share a shingle among each one's first few in any common order of the shingles, so
+with the common ones last, documents that only share common text fall apart. Every
+pair inside a cluster is then compared on its full shingle sets, in blocks, and
+the exact links give the components.
 
 With the defaults (128 permutations, 256 values, 51 bands of 5) a pair at
 similarity 0.75 shares no bucket with probability 1e-6.
@@ -17,7 +20,8 @@ Buckets are grouped to their smallest member, never collected; clusters above
 hash of the id, and each pair of blocks is one task's group, so no group is
 larger than two blocks (or two single documents, where those are longer).
 Only texts of clusters are shuffled; a bitmap of fixed size tells most others.
-Nothing is capped: a larger cluster only has more blocks.
+Nothing is capped: a larger cluster only has more blocks. At most ``COMMON`` common
+shingles are broadcast; any choice of them gives the same links.
 
 Cases: null or wordless texts have no shingle and are linked with nothing; a
 null id is never linked and has a null component; repeated rows share a
@@ -40,6 +44,8 @@ from fieldcraft.session import drop_scratch, materialize
 
 PERMUTATIONS, ROWS, SEED = 128, 5, 20240501
 BLOCK_DOCS, BLOCK_BYTES = 256, 4 << 20
+#: shingles that count as common at most
+COMMON = 1 << 17
 SIGNATURE = "id long, n long, fp binary, size long, bands array<bigint>"
 
 
@@ -174,6 +180,71 @@ def _confirm(percent: int):
     return run
 
 
+def prefix_length(n: int, percent: int) -> int:
+    """How many of its first shingles a set of ``n`` needs, so that two sets at the
+    similarity share one of them."""
+    return n + 1 - -(-percent * n // 100)
+
+
+def common_shingles(sets: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The commonest shingles of ``sets(shingle)``, at most ``most``, and their
+    counts; a cut on the counts, by eight steps a doubling."""
+    counts = materialize(sets.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1"), "shingle-counts")
+    level = F.floor(F.log2("n") * 8).cast("int")
+    cut, room = 1 << 30, most
+    # a few hundred levels
+    for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("k")).orderBy(F.desc("level")).collect():
+        if r["k"] > room:
+            break
+        cut, room = r["level"], room - r["k"]
+    got = counts.filter(level >= cut).toArrow()  # at most ``most`` rows
+    drop_scratch(counts)
+    order = np.argsort(np.asarray(got.column("shingle")).view(np.uint64))
+    return (np.asarray(got.column("shingle")).view(np.uint64)[order], np.asarray(got.column("n"))[order])
+
+
+def split_clusters(texts: DataFrame, percent: int, most: int = COMMON) -> DataFrame:
+    """``texts(id, component, text)`` of large clusters -> ``node, part``: documents of a
+    cluster that may be linked, directly or through others, share a part; documents
+    without a row share a first shingle with none."""
+    def record(batch, sets):
+        """One row per document and shingle."""
+        import pyarrow as pa
+        n = [len(one) for one in sets]
+        flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        return pa.record_batch([*[pa.array(np.repeat(np.asarray(batch.column(c)), n)) for c in ("id", "component")],
+                                pa.array(flat.view(np.int64))], ["id", "component", "shingle"])
+
+    def explode(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield record(batch, list(S.sets(batch.column("text"))))
+
+    every = texts.select("id", "component", "text").mapInArrow(explode, "id long, component long, shingle long")
+    known = texts.sparkSession.sparkContext.broadcast(common_shingles(every.select("shingle"), most))
+
+    def first(batches):
+        common, times = known.value
+        for batch in batches:
+            out = []
+            for one in S.sets(batch.column("text")):
+                at = np.minimum(np.searchsorted(common, one), max(len(common) - 1, 0))
+                n = np.where(common[at] == one, times[at], 0) if len(common) else np.zeros(len(one), np.int64)
+                out.append(one[np.lexsort((one, n))][:prefix_length(len(one), percent)])
+            if out:
+                yield record(batch, out)
+
+    rows = materialize(texts.select("id", "component", "text")
+                       .mapInArrow(first, "id long, component long, shingle long"), "prefixes")
+    lead = (rows.groupBy("component", "shingle").agg(F.min("id").alias("lead"), F.count("*").alias("n"))
+            .filter("n > 1").drop("n"))
+    star = (rows.join(lead, ["component", "shingle"]).filter("id <> lead")
+            .select(F.col("id").alias("a"), F.col("lead").alias("b")))
+    out = materialize(components(star).withColumnRenamed("component", "part"), "parts")
+    drop_scratch(rows)
+    return out
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = 75, permutations: int = PERMUTATIONS, rows: int = ROWS,
                     seed: int = SEED, block_docs: int = BLOCK_DOCS,
@@ -196,13 +267,27 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cluster = materialize(components(star), "clusters")
     sizes = reps.groupBy(F.col("rep").alias("node")).agg(F.sum("size").alias("size"))
     member = cluster.join(sizes, "node")
-    span = (member.groupBy("component").agg(F.count("*").alias("m"), F.sum("size").alias("bytes"))
-            .select("component", F.greatest(F.ceil(F.col("m") / block_docs),
-                                            F.ceil(F.col("bytes") / block_bytes),
-                                            F.lit(1)).cast("int").alias("nb")))
-    member = materialize(member.join(span, "component").select(
-        F.col("node").alias("id"), "component", "nb",
-        F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("blk")), "members")
+    def in_blocks(some: DataFrame) -> DataFrame:
+        """Members of clusters with their number of blocks and their block."""
+        span = (some.groupBy("component").agg(F.count("*").alias("m"), F.sum("size").alias("bytes"))
+                .filter("m > 1")
+                .select("component", F.greatest(F.ceil(F.col("m") / block_docs),
+                                                F.ceil(F.col("bytes") / block_bytes),
+                                                F.lit(1)).cast("int").alias("nb")))
+        return some.join(span, "component").select(
+            F.col("node").alias("id"), "component", "size", "nb",
+            F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("blk"))
+
+    member = materialize(in_blocks(member), "members")
+    scratch = [member]
+    large = member.filter("nb > 1").select(F.col("id").alias("node"), "component", "size")
+    if not large.isEmpty():
+        parts = split_clusters(rows_of(docs, "id", large.select("node", "component"), "node")
+                               .select("id", "component", "text"), percent)
+        smaller = in_blocks(large.drop("component").join(parts, "node").withColumnRenamed("part", "component"))
+        member = materialize(member.filter("nb = 1").unionByName(smaller), "members")
+        scratch += [parts, member]
+    member = member.drop("size")
     texts = rows_of(docs, "id", member.withColumnRenamed("id", "node"), "node").drop("node")
     texts = texts.dropDuplicates(["id", "text"]) if _repeats(sig) else texts
     spread = (texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
@@ -222,7 +307,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                  F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"),
                                  F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept")),
                       "near")
-    for t in (sig, reps, cluster, member, links):
+    for t in (sig, reps, cluster, links, *scratch):
         drop_scratch(t)
     return out
 
