@@ -7,10 +7,12 @@ its distinct vectors; a query skips a subtree when the triangle inequality puts
 it farther than ``bound / factor``, where ``bound`` is the distance of its
 current k-th neighbour. ``factor`` 1 is exact search; larger factors skip more.
 
-Plan: vectors are dealt to shards of about ``shard_rows`` by a hash of the id,
-queries to blocks of about ``block_rows``; every (shard, block) pair is one
-cogroup, so a task holds one shard and one block whatever the table's size. A
-window with a rank limit keeps k rows of a query before the final shuffle.
+Plan: vectors are dealt to shards of about ``shard_rows`` by a hash of the id; every
+vector is shuffled once, to its shard, and every query once to each shard. Rows are
+sorted by shard, vectors before queries, so a task reads a shard, builds its tree
+once and then streams the queries through it, ``block_rows`` at a time: it holds one
+shard and one block whatever the table's size. A window with a rank limit keeps k
+rows of a query before the final shuffle.
 Equal vectors share one tree entry with their smallest ids, so a vector held by
 a third of all rows costs one entry per shard.
 
@@ -115,25 +117,59 @@ class Search:
             self._visit(child, left[(gap[late] - tight[late]) * self.factor <= self._bound(left)])
 
 
-def _search(k: int, factor: float, norm: float):
-    def run(key, queries, vectors):
+def _tree(ids: np.ndarray, x: np.ndarray, norm: float) -> Tree:
+    """The tree of a shard; equal vectors side by side, ids rising within them."""
+    order = np.lexsort((ids, *x.T[::-1]))
+    ids, x = ids[order], x[order]
+    new = np.flatnonzero(np.append(True, (x[1:] != x[:-1]).any(1)))
+    return Tree(x[new], np.split(ids, new[1:]), norm)
+
+
+def _runs(batches):
+    """Sorted batches cut into runs of one (dim, shard, asks): ``(key, ids, vectors)``;
+    a run may come in several parts."""
+    for batch in batches:
+        dim, shard, asks, ids = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False))
+                                 for c in ("dim", "shard", "asks", "id"))
+        edge = np.flatnonzero((np.diff(dim) != 0) | (np.diff(shard) != 0) | (np.diff(asks) != 0)) + 1
+        for a, b in zip([0, *edge], [*edge, len(ids)]):
+            if a < b:
+                flat = np.asarray(batch.column("v").slice(a, b - a).flatten())
+                yield (int(dim[a]), int(shard[a]), bool(asks[a])), ids[a:b], flat.reshape(b - a, -1)
+
+
+def _search(k: int, factor: float, norm: float, block_rows: int):
+    def run(batches):
         import pyarrow as pa
-        if not queries.num_rows or not vectors.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                             "score": pa.array([], pa.float64())})
-        flat = lambda t: np.asarray(t.column("v").combine_chunks().flatten()).reshape(t.num_rows, -1)
-        ids, x = np.asarray(vectors.column("id")), flat(vectors)
-        # equal vectors side by side, ids rising within them
-        order = np.lexsort((ids, *x.T[::-1]))
-        ids, x = ids[order], x[order]
-        new = np.flatnonzero(np.append(True, (x[1:] != x[:-1]).any(1)))
-        tree = Tree(x[new], np.split(ids, new[1:]), norm)
-        own = np.asarray(queries.column("id"))
-        s = Search(tree, flat(queries), own, norm, k, factor)
-        rows = [(int(q), v, -m) for q, got in zip(own, s.best) for m, v in got]
-        cols = list(zip(*rows)) if rows else [(), (), ()]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()),
-                         "score": pa.array(cols[2], pa.float64())})
+        at, tree, parts, held = None, None, [], []
+
+        def asked():
+            """The k best of the queries held."""
+            own, q = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            for a in range(0, len(own), block_rows):
+                s = Search(tree, q[a:a + block_rows], own[a:a + block_rows], norm, k, factor)
+                cols = list(zip(*[(int(i), v, -m) for i, got in zip(own[a:], s.best) for m, v in got]))
+                if cols:
+                    yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                                           pa.array(cols[2], pa.float64())], ["query_id", "vec_id", "score"])
+
+        for (dim, shard, asks), ids, x in _runs(batches):
+            if (dim, shard) != at:
+                if held:
+                    yield from asked()
+                at, tree, parts = (dim, shard), None, []
+            if not asks:
+                parts.append((ids, x))
+                continue
+            if tree is None and parts:
+                tree, parts = _tree(*(np.concatenate(c) for c in zip(*parts)), norm), []
+            if tree is not None:
+                held.append((ids, x))
+                if sum(len(i) for i, _ in held) >= block_rows:
+                    yield from asked()
+        if held:
+            yield from asked()
     return run
 
 
@@ -148,6 +184,14 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             .withColumn("dim", F.size("v")))
 
 
+def deal(rows: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
+    """What is shuffled: every vector once, every query once per shard."""
+    mine = F.pmod(F.xxhash64(F.lit(5), F.col("id")), F.lit(shards)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    return (rows.withColumn("shard", mine).withColumn("asks", F.lit(False))
+            .unionByName(asked.withColumn("shard", every).withColumn("asks", F.lit(True))))
+
+
 def nearest(df: DataFrame, queries: DataFrame | None = None, id_col: str = "vec_id",
             vec_col: str = "embedding", k: int = K, factor: float = FACTOR,
             shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -158,17 +202,14 @@ def nearest(df: DataFrame, queries: DataFrame | None = None, id_col: str = "vec_
     asked = asked.groupBy("id", "dim").agg(F.min("v").alias("v"))
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     size = rows.agg(F.count("*").alias("n"), F.max(norm2).alias("m")).first()
-    n_query = asked.count()
     shards = max(1, -(-size["n"] // shard_rows))
-    blocks = max(1, -(-n_query // block_rows))
     norm = float(np.sqrt(size["m"] or 0.0)) * (1 + 1e-12)
-    deal = lambda c, n: F.pmod(F.xxhash64(F.lit(5), c), F.lit(n)).cast("int")
-    left = (asked.withColumn("block", deal(F.col("id"), blocks))
-            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    right = (rows.withColumn("shard", deal(F.col("id"), shards))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    by = ["dim", "shard", "block"]
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_search(k, factor, norm), FOUND)
+    both = deal(rows, asked, shards)
+    by = ["dim", "shard"]
+    # a few partitions a shard, so that hashing seldom puts two into one
+    tasks = min(8 * shards, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = (both.repartition(tasks, *by).sortWithinPartitions(*by, "asks")
+             .mapInArrow(_search(k, factor, norm, block_rows), FOUND))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
