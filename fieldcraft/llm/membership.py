@@ -42,11 +42,13 @@ def rows_of(rows: DataFrame, key: str, table: DataFrame, table_key: str) -> Data
 
 
 def rows_without(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """``rows`` whose key is not in the one column of ``ids``; null keys stay."""
-    ids = ids.select(F.col(f"`{ids.columns[0]}`").alias("__gone")).distinct()
-    flagged = flag_likely(rows, F.col(f"`{key}`"), ids)
-    sure = flagged.filter("NOT __likely").drop("__likely")
-    rest = flagged.filter("__likely").drop("__likely").join(ids, F.col(f"`{key}`") == F.col("__gone"), "left_anti")
+    """``rows`` whose key is not in the one column of ``ids``; null keys stay. The
+    columns travel in a struct, whatever their names."""
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), F.col(f"`{key}`").alias("key"))
+    ids = ids.select(F.col(f"`{ids.columns[0]}`").alias("gone")).distinct()
+    flagged = flag_likely(packed, F.col("key"), ids)
+    sure = flagged.filter("NOT __likely").select("row.*")
+    rest = flagged.filter("__likely").join(ids, F.col("key") == F.col("gone"), "left_anti").select("row.*")
     return sure.unionByName(rest)
 
 

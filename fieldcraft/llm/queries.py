@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcraft.llm import oracles
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -30,7 +32,7 @@ def tokenizer_file(name: str) -> str:
         return f.read()
 
 
-@register("op2_minmax_near_dedup")
+@register("op2_minmax_near_dedup", oracles.NEAR_DUPLICATES)
 def op2(spark, sf_dir):
     from fieldcraft.llm.minmax import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -49,7 +51,7 @@ def op4(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), PATTERN)
 
 
-@register("op1_interleaved_shards")
+@register("op1_interleaved_shards", oracles.SHARDS)
 def op1(spark, sf_dir):
     from fieldcraft.llm.sharding import interleave
     return interleave(table(spark, sf_dir, "documents"))
@@ -162,7 +164,7 @@ def op12(spark, sf_dir):
     return align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), PATTERN, model)
 
 
-@register("op13_target_resampling")
+@register("op13_target_resampling", oracles.RESAMPLE)
 def op13(spark, sf_dir):
     from fieldcraft.llm.resample import resample
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

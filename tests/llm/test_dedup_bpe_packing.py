@@ -137,6 +137,35 @@ def test_byte_bpe_query(spark):
         assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
 
 
+def test_common_text_does_not_bind_a_cluster(spark):
+    """Documents that share most of their words but are no near-duplicates fall
+    apart before they are compared; near copies among them are still linked."""
+    r = random.Random(11)
+    common = " ".join(f"c{i}" for i in range(120))
+    rows = [(i, common + " " + " ".join(f"w{r.randint(0, 10 ** 9)}" for _ in range(60))) for i in range(300)]
+    rows += [(1000 + i, rows[7][1] + f" x{i}") for i in range(40)] + [(2000 + i, rows[9][1]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = minmax.split_clusters(df.selectExpr("doc_id AS id", "0L AS component", "text"), 75).groupBy("part").count()
+    sizes = sorted(r["count"] for r in parts.collect())
+    assert sizes == [31, 41]
+    got = {x.doc_id: x.component_id for x in minmax.near_duplicates(df, block_docs=16).collect()}
+    want = {i: 7 if i >= 1000 and i < 2000 else 9 if i >= 2000 else i for i, _ in rows}
+    assert got == want
+
+
+def test_prefixes_keep_every_link():
+    """Two sets at the similarity share one of their first shingles in any order."""
+    r = random.Random(12)
+    for _ in range(2000):
+        n, m = r.randint(1, 12), r.randint(0, 6)
+        base = r.sample(range(40), n)
+        other = [x for x in base if r.random() < 0.9] + r.sample(range(40, 60), m)
+        order = {x: k for k, x in enumerate(r.sample(range(60), 60))}
+        a, b = (sorted(s, key=order.get) for s in (set(base), set(other)))
+        if b and 100 * len(set(a) & set(b)) >= 75 * len(set(a) | set(b)):
+            assert set(a[:minmax.prefix_length(len(a), 75)]) & set(b[:minmax.prefix_length(len(b), 75)])
+
+
 def check_packed(rows, texts, window=2048):
     """All contract points of packed pieces; the number of sequences."""
     from tokenizers import Tokenizer

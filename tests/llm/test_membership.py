@@ -21,3 +21,13 @@ def test_joins(spark, monkeypatch, bits):
     some = M.flag_likely(rows, F.col("k"), ids)
     assert some.filter("__likely").count() < (3000 if bits > 1 << 20 else 3001)
     assert M.rows_without(rows, "k", ids.limit(0)).count() == 3000
+
+
+def test_rows_without_any_column_names(spark):
+    names = ["doc_id", "__gone", "__bits", "__map", "__spot", "__likely", "row", "key", "gone"]
+    rows = spark.createDataFrame([(i if i % 4 else None, *[i] * 8) for i in range(40)],
+                                 ", ".join(f"`{n}` long" for n in names))
+    ids = spark.createDataFrame([(1,), (2,), (2,), (99,), (None,)], "doc_id long")
+    got = M.rows_without(rows, "doc_id", ids)
+    assert got.columns == names
+    assert sorted(r.row for r in got.collect()) == [i for i in range(40) if i not in (1, 2)]
