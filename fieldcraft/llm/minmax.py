@@ -238,8 +238,11 @@ def split_clusters(texts: DataFrame, percent: int, most: int = COMMON) -> DataFr
                        .mapInArrow(first, "id long, component long, shingle long"), "prefixes")
     lead = (rows.groupBy("component", "shingle").agg(F.min("id").alias("lead"), F.count("*").alias("n"))
             .filter("n > 1").drop("n"))
-    star = (rows.join(lead, ["component", "shingle"]).filter("id <> lead")
-            .select(F.col("id").alias("a"), F.col("lead").alias("b")))
+    # a document and all its leads join its smallest lead: near copies share their
+    # leads, so a group of them leaves one edge each and a few between the leads
+    hub = (rows.join(lead, ["component", "shingle"]).groupBy("id")
+           .agg(F.min("lead").alias("b"), F.collect_set("lead").alias("leads")))
+    star = hub.select(F.explode(F.array_union("leads", F.array("id"))).alias("a"), "b").filter("a <> b").distinct()
     out = materialize(components(star).withColumnRenamed("component", "part"), "parts")
     drop_scratch(rows)
     return out
