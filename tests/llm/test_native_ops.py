@@ -1,6 +1,7 @@
 """Sharding, chat formatting and quality rules against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -216,3 +217,14 @@ def test_quality_of_few_documents(spark):
     rows = Q.op7(spark, d).join(Q.table(spark, d, "labels"), "doc_id").filter(~F.col("base_failed")).collect()
     good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.5 * len(bad)
+
+
+def test_cut_is_the_exact_rank_of_all_good_documents(spark):
+    n = 30_000  # more than were once sampled
+    rows = spark.range(n).select(F.col("id").alias("__id"), F.when(F.col("id") % 3 < 2, (F.col("id") * 7919 % n).cast("double")).alias("__inside"))
+    good = spark.range(n).filter("id % 3 = 1").select(F.col("id").alias("__good"))
+    scores = sorted(i * 7919 % n for i in range(n) if i % 3 == 1)
+    assert quality.label_cut(rows, good) == scores[len(scores) * 5 // 1000 - 1]
+    assert quality.label_cut(rows.limit(0), good) == -math.inf
+    one = rows.filter("__id = 4")
+    assert quality.label_cut(one, good) == one.first()["__inside"]
