@@ -64,6 +64,22 @@ def assemble(train: DataFrame, rows: DataFrame, stages: list, keep: Sequence[str
     return materialize(made, "features")
 
 
+#: bytes of binned rows (4 a feature) that one task of a tree fit holds and reads
+TREE_TASK_BYTES = 256 << 20
+
+
+def for_trees(rows: DataFrame, features: str = "features") -> DataFrame:
+    """Assembled rows in as many partitions as keep the binned rows of each, which a
+    tree fit holds and reads anew per level, below ``TREE_TASK_BYTES``. Sparse rows are
+    small on disk, so few splits of a file may hold millions of them; a table that
+    already has enough partitions is returned untouched."""
+    first = rows.select(features).first()
+    if first is None:
+        return rows
+    parts = -(-rows.count() * (4 * first[0].size + 64) // TREE_TASK_BYTES)
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def fit_score(train: DataFrame, score_on: DataFrame, clf, keep: Sequence[str]) -> tuple[Model, DataFrame]:
     """Fit on assembled rows and score: ``keep`` + ``score``."""
     model = clf.fit(train)
@@ -126,7 +142,7 @@ def search(rows: DataFrame, train: str = "is_train", valid: str = "is_valid", la
     training rows, each stopping early on the validation rows; one row per trial: its
     parameters, the number of trees kept and the exact AUC on training and validation
     rows. ``leaves`` l becomes depth ceil(log2(l))."""
-    fit_on = rows.filter(F.col(train) | F.col(valid))
+    fit_on = for_trees(rows.filter(F.col(train) | F.col(valid)))
     seen: dict[tuple, tuple] = {}
 
     def evaluate(c: dict) -> float:

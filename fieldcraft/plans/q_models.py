@@ -61,7 +61,7 @@ def _fm(spark, d):
 
 def _gbt(spark, d):
     rows = _rows(spark, d)
-    fit_on = rows.filter("is_train OR is_valid")  # validation rows stop the training early
+    fit_on = ML.for_trees(rows.filter("is_train OR is_valid"))  # validation rows stop the training early
     return ML.fit_score(fit_on, rows, ML.gbt(max_iter=300, validation_col="is_valid"), KEEP)[1]
 
 

@@ -48,3 +48,14 @@ def test_search_draws(spark):
                        ["label", "is_train", "is_valid"])
     got = ML.search(rows, evals=2, space={**ML.SPACE, "trees": [30]}).collect()
     assert [r.candidate for r in got] == [0, 1] and all(0 <= r.auc <= 1 and r.train_auc > 0.5 and 0 < r.trees <= 30 for r in got)
+
+
+def test_tree_rows_are_parted_by_their_binned_size(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    rows = spark.createDataFrame([(i, Vectors.sparse(100, [i % 100], [1.0])) for i in range(200)], ["i", "features"]).coalesce(1)
+    monkeypatch.setattr(ML, "TREE_TASK_BYTES", 10 * (4 * 100 + 64))
+    some = ML.for_trees(rows)
+    assert some.rdd.getNumPartitions() == 20 and max(some.rdd.glom().map(len).collect()) <= 20
+    assert sorted(r.i for r in some.collect()) == list(range(200))
+    monkeypatch.setattr(ML, "TREE_TASK_BYTES", 1 << 30)
+    assert ML.for_trees(rows).rdd.getNumPartitions() == 1 and ML.for_trees(rows.limit(0)).count() == 0
