@@ -159,8 +159,10 @@ def cross_encode(df: DataFrame, pairs: Sequence[Sequence[str]], times: int = 100
     """For each pair: key ``a_b`` (strings), values seen fewer than ``times``
     times -> '-1', then label-encoded in string order. A pair already present
     (either order) is skipped. All pairs are stacked into one long form
-    ``(row, pair, value)``: one count aggregation, one distributed dense
-    numbering ranked within each pair, one pivot back to columns."""
+    ``(pair, value)`` for one count aggregation and one distributed dense
+    numbering ranked within each pair. A row's codes are then looked up pair by
+    pair: only values seen often enough have one of their own, so these tables hold
+    at most rows / ``times`` values; every other value has that of '-1'."""
     todo = []
     for a, b in pairs:
         if f"{a}_{b}" in df.columns or f"{b}_{a}" in df.columns or f"{a}_{b}" in [f"{x}_{y}" for x, y in todo]:
@@ -168,21 +170,22 @@ def cross_encode(df: DataFrame, pairs: Sequence[Sequence[str]], times: int = 100
         todo.append((a, b))
     if not todo:
         return df
-    names = [f"{a}_{b}" for a, b in todo]
-    ent = F.array(*[F.struct(F.lit(f"{a}_{b}").alias("pair"),
-                             F.concat_ws("_", F.coalesce(F.col(a).cast("string"), F.lit(NULL_PART)),
-                                         F.coalesce(F.col(b).cast("string"), F.lit(NULL_PART))).alias("v"))
-                    for a, b in todo])
-    long = df.select(row_id, F.explode(ent).alias("_e")).select(row_id, "_e.pair", "_e.v")
-    cnt = long.groupBy("pair", "v").agg(F.count(F.lit(1)).alias("_vc"))
-    mapped = cnt.withColumn("r", F.when(F.col("_vc") < times, F.lit("-1")).otherwise(F.col("v")))
-    codes = rank_within(mapped.select("pair", "r").distinct(), ["pair"], ["r"], "code")
-    table = mapped.join(codes, ["pair", "r"]).select("pair", "v", "code").checkpoint(eager=True)
-    # one row per distinct (pair, value): broadcast behind its counted size,
-    # so the stacked rows are not shuffled on a key with hot values
-    table = broadcast_if_small(table, table.count(), 96)
-    wide = long.join(table, ["pair", "v"]).groupBy(row_id).pivot("pair", names).agg(F.first("code"))
-    return df.join(wide, row_id, "left")
+    value = lambda a, b: F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_PART)) for c in (a, b)])
+    ent = F.array(*[F.struct(F.lit(f"{a}_{b}").alias("pair"), value(a, b).alias("v")) for a, b in todo])
+    cnt = df.select(F.explode(ent).alias("_e")).groupBy("_e.pair", "_e.v").agg(F.count(F.lit(1)).alias("_vc"))
+    mapped = cnt.select("pair", F.when(F.col("_vc") < times, F.lit("-1")).otherwise(F.col("v")).alias("r")).distinct()
+    codes = materialize(rank_within(mapped, ["pair"], ["r"], "code"), "codes")
+    kind = codes.schema["code"].dataType
+    rare = {r["pair"]: r["code"] for r in codes.filter("r = '-1'").collect()}  # one a pair
+    size = {r["pair"]: r["n"] for r in codes.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+    out = df
+    for a, b in todo:
+        name = f"{a}_{b}"
+        table = codes.filter((F.col("pair") == name) & (F.col("r") != "-1")).select(F.col("r").alias("_r"), F.col("code").alias("_code"))
+        # broadcast behind its counted size: a shuffle on the value would have hot keys
+        out = (out.join(broadcast_if_small(table, size.get(name, 0), 96), value(a, b) == F.col("_r"), "left")
+               .withColumn(name, F.coalesce("_code", F.lit(rare.get(name)).cast(kind))).drop("_r", "_code"))
+    return out
 
 
 # ------------------------------------------------------------------ F05 / F06 / F07

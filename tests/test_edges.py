@@ -177,3 +177,15 @@ def test_materialize_once(spark, tmp_path):
     path = str(tmp_path / "once")
     assert files.materialize_once(spark.range(3), path).count() == 3
     assert files.materialize_once(spark.range(9), path).count() == 3  # the first output stays
+
+
+def test_cross_codes_without_pivot(spark):
+    from fieldcraft.operators import counts as C
+    rows = [(i, "a" if i < 6 else f"b{i}", None if i == 3 else 1, i % 2) for i in range(12)]
+    df = spark.createDataFrame(rows, "row_id long, x string, y int, z int")
+    out = C.cross_encode(df, [("x", "y"), ("x", "z"), ("y", "z")], 3)
+    got = {r.row_id: (r.x_y, r.x_z, r.y_z) for r in out.collect()}
+    # x_y: '-1' and 'a_1'; x_z: '-1', 'a_0', 'a_1'; y_z: '-1', '1_0', '1_1'
+    for i, x, y, z in rows:
+        assert got[i] == (int(x == "a" and y == 1), 1 + z if x == "a" else 0, 0 if y is None else 1 + z)
+    assert "PivotFirst" not in out._jdf.queryExecution().optimizedPlan().toString()
