@@ -155,28 +155,22 @@ class Block:
             for f in BINNED.split(", ")[1:])
         self.offset = np.concatenate(([0], np.cumsum(self.widths)))
 
-    def left(self, feature: int, cut_bin: int) -> np.ndarray:
-        """Which rows go left at a split."""
-        c = int(np.searchsorted(self.feat, feature))
-        if c == len(self.feat) or self.feat[c] != feature:
-            # the feature is absent in this block: its zero bin is the split's to tell
-            return None
-        a, b = self.ptr[c], self.ptr[c + 1]
-        go = np.full(len(self.ids), bool(self.zeros[c] <= cut_bin))
-        go[self.rows[a:b]] = self.bins[a:b] <= cut_bin
-        return go
-
     def leaf_of(self, tree: Tree) -> np.ndarray:
-        """The node that each row ends in."""
-        at = np.zeros(len(self.ids), np.int64)
+        """The node that each row ends in. A node's rows go where an absent entry
+        goes, those with an entry of its feature are put right."""
+        at = np.zeros(len(self.ids), np.int32)
         for i, node in enumerate(tree):
-            if node.left >= 0:
-                here = at == i
-                if here.any():
-                    go = self.left(node.feature, node.bin)
-                    if go is None:
-                        go = np.full(len(at), node.cut >= 0.0)
-                    at[here] = np.where(go[here], node.left, node.right)
+            if node.left < 0:
+                continue
+            c = int(np.searchsorted(self.feat, node.feature))
+            if c == len(self.feat) or self.feat[c] != node.feature:
+                # the feature is absent in this block: its zero bin is the split's to tell
+                at[at == i] = node.left if node.cut >= 0.0 else node.right
+                continue
+            rows, bins = (x[self.ptr[c]:self.ptr[c + 1]] for x in (self.rows, self.bins))
+            mine = at[rows] == i
+            at[at == i] = node.left if self.zeros[c] <= node.bin else node.right
+            at[rows[mine]] = np.where(bins[mine] <= node.bin, node.left, node.right)
         return at
 
     def margin(self, trees: Sequence[Tree]) -> np.ndarray:

@@ -100,6 +100,15 @@ def entries(df: DataFrame, specs: Sequence[FieldSpec], vocab: DataFrame, row_id:
     return out
 
 
+#: rows that one block, so one array task, holds at most on average
+BLOCK_ROWS = 20_000
+
+
+def n_blocks(df: DataFrame, least: int = 1) -> int:
+    """Blocks for the rows of ``df``: as many as keep each at ``BLOCK_ROWS``."""
+    return max(least, -(-df.count() // BLOCK_ROWS))
+
+
 def to_blocks(df: DataFrame, found: DataFrame, n_blocks: int, row_id: str = "row_id") -> DataFrame:
     """CSR blocks of the rows of ``df`` and their ``found(row_id, idx, val)``;
     equal indices of a row are added up. One grouping on the block."""

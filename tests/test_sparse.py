@@ -105,3 +105,8 @@ def test_empty_table(spark, made):
     assert sparse.size(empty) == 2
     got = sparse.block_rows(sparse.encode_blocks(df, SPECS, empty, 2))
     assert got.count() == df.count() and got.agg(F.max(F.size("indices"))).first()[0] <= 2
+
+
+def test_blocks_follow_the_rows(spark):
+    assert sparse.n_blocks(spark.range(sparse.BLOCK_ROWS * 3 + 1)) == 4
+    assert sparse.n_blocks(spark.range(0), 8) == 8
