@@ -1,8 +1,9 @@
 """Models with Spark ML (E03-E05, M01-M04, M07): feature assembly, logistic
 regression, factorisation machine, gradient-boosted trees, parameter search.
 
-Training runs on the executors through MLlib; scoring is ``transform`` and
-the positive-class probability is extracted with ``vector_to_array``.
+Training runs on the executors, through MLlib but for the factorisation machine
+(``operators.fm``); scoring is ``transform`` and the positive-class probability
+is extracted with ``vector_to_array``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import random
 from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline
-from pyspark.ml.classification import FMClassifier, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import CountVectorizer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from fieldcraft.functions.text import cell_tokens
 from fieldcraft.operators.evaluate import exact_auc
+from fieldcraft.operators.fm import FM
 from fieldcraft.operators.search import run as tpe_run
 from fieldcraft.session import materialize
 
@@ -96,9 +98,8 @@ def add_weight(df: DataFrame, label: str = "label", pos_weight: float = 20.0, na
 
 
 def fm(factor_size: int = 4, step_size: float = 0.02, reg: float = 1e-6, max_iter: int = 100,
-       label: str = "label", seed: int = 2018) -> FMClassifier:
-    return FMClassifier(labelCol=label, featuresCol="features", factorSize=factor_size,
-                        stepSize=step_size, regParam=reg, maxIter=max_iter, seed=seed)
+       label: str = "label", seed: int = 2018) -> FM:
+    return FM(factor_size=factor_size, step_size=step_size, reg=reg, max_iter=max_iter, label=label, seed=seed)
 
 
 def gbt(max_iter: int = 300, step: float = 0.05, subsample: float = 0.7, col_sample: str = "0.7",

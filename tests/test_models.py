@@ -1,10 +1,12 @@
 """Feature assembly, training, scoring and search."""
 
 import numpy as np
+import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from fieldcraft.operators import fm as FM
 from fieldcraft.operators import models as ML
 from fieldcraft.operators.evaluate import exact_auc
 
@@ -59,3 +61,39 @@ def test_tree_rows_are_parted_by_their_binned_size(spark, monkeypatch):
     assert sorted(r.i for r in some.collect()) == list(range(200))
     monkeypatch.setattr(ML, "TREE_TASK_BYTES", 1 << 30)
     assert ML.for_trees(rows).rdd.getNumPartitions() == 1 and ML.for_trees(rows.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("steps", [1, 8])
+def test_factorisation_machine_takes_the_steps_of_mllib(spark, steps):
+    from pyspark.ml.classification import FMClassifier
+    from pyspark.ml.linalg import Vectors
+    r = np.random.default_rng(3)
+    made = []
+    for i in range(500):
+        at = sorted(r.choice(30, int(r.integers(0, 6)), replace=False).tolist())
+        x = np.round(r.random(len(at)) + 0.1, 3)
+        v = Vectors.sparse(30, at, x) if i % 7 else Vectors.dense(Vectors.sparse(30, at, x).toArray())
+        made.append((i, int(r.random() < 0.3 + 0.4 * (3 in at)), v))
+    df = spark.createDataFrame(made, ["i", "label", "features"])
+    fm = ML.fm(3, 0.05, 1e-4, steps)
+    want = FMClassifier(labelCol="label", featuresCol="features", factorSize=3, stepSize=0.05, regParam=1e-4,
+                        maxIter=steps, seed=2018).fit(df)
+    model, pred = ML.fit_score(df, df, fm, ["i"])
+    assert not isinstance(model, type(want)) and model.steps == steps
+    assert np.allclose(model.factors, want.factors.toArray(), atol=1e-8) and abs(model.intercept - want.intercept) < 1e-8
+    assert np.allclose(model.linear, want.linear.toArray(), atol=1e-8)
+    got = {x.i: x.score for x in pred.collect()}
+    assert all(abs(got[x.i] - x.probability[1]) < 1e-8 for x in want.transform(df).collect()) and len(got) == 500
+    # a small table still makes a block per task; blocks hold all rows once
+    blocks = FM.make_blocks(df)
+    assert blocks.agg(F.sum("n")).first()[0] == 500 and blocks.rdd.getNumPartitions() >= 8
+
+
+@pytest.mark.parametrize("label,x", [(2, 1.0), (None, 1.0), (1, float("nan")), (1, float("inf"))])
+def test_factorisation_machine_refuses_what_mllib_refuses(spark, label, x):
+    from pyspark.ml.linalg import VectorUDT, Vectors
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("features", VectorUDT())])
+    df = spark.createDataFrame([(0, Vectors.dense(1.0, 2.0)), (label, Vectors.dense(x, 2.0))], schema)
+    with pytest.raises(Exception, match="(?i)labels? |not finite|infinity"):
+        ML.fm(2, max_iter=1).fit(df)
