@@ -50,16 +50,40 @@ def nunique_zscore(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
     return nunique_recipe(df, [(key, col, name)])
 
 
+#: values that one task of a distinct count takes in; its hash table holds at most as many
+TASK_VALUES = 2_000_000
+_SALTS = 16
+
+
+def deal_values(rows: DataFrame, cols: Sequence[str], values: int) -> DataFrame:
+    """``rows`` of ``cols``, holding ``values`` counted values, in as many partitions as
+    keep those of each near ``TASK_VALUES``, dealt by their cells, so that equal values
+    mostly meet; the rows of a frequent combination go to several. Rows that already
+    have enough partitions are returned untouched."""
+    parts = -(-values // TASK_VALUES)
+    if parts <= rows.rdd.getNumPartitions():
+        return rows
+    return (rows.withColumn("_salt", F.monotonically_increasing_id() % _SALTS)
+            .repartition(parts, *cols, "_salt").drop("_salt"))
+
+
 def nunique_recipe(df: DataFrame, specs: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Several standardised distinct counts, ``specs = [(key, col, name)]``.
     All counts of one key come from one aggregation, written once with the
     number of rows per key; means and stds over the rows are sums over that
     small table weighted by those numbers, so the rows are never joined just
-    to be averaged."""
+    to be averaged. A row gives one entry per counted column, so the narrow rows
+    are written once and dealt to tasks by their number of entries: a few large
+    splits would each hold millions of them."""
+    keys = list(dict.fromkeys(k for k, _, _ in specs))
+    narrow = materialize(df.select(*dict.fromkeys(x for k, c, _ in specs for x in (k, c))), "nunique-rows")
+    n_rows = narrow.count()
     out = df
-    for key in dict.fromkeys(k for k, _, _ in specs):
+    for key in keys:
         mine = [(c, name) for k, c, name in specs if k == key]
-        per = materialize(df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        cols = list(dict.fromkeys([key, *[c for c, _ in mine]]))
+        rows = deal_values(narrow.select(*cols).filter(F.col(key).isNotNull()), cols, n_rows * len(mine))
+        per = materialize(rows.groupBy(key).agg(
             F.count(F.lit(1)).cast("double").alias("_rows"), *[F.count_distinct(c).alias(n) for c, n in mine]), "nunique")
         w = F.col("_rows")
         mean = per.agg(*[(F.sum(w * F.col(n)) / F.sum(w)).alias(n) for _, n in mine]).first()

@@ -62,6 +62,19 @@ def test_zscore_constant_column(spark):
     assert all(r["z"] == 0.0 for r in out)
 
 
+def test_distinct_counts_are_dealt_by_their_values(spark, monkeypatch):
+    rows = [(i % 7 if i < 600 else 0, i % 40 if i < 600 else 1, None if i % 9 == 0 else f"v{i % 25}") for i in range(1200)]
+    df = spark.createDataFrame([(None if k == 3 else k, a, b) for k, a, b in rows], "k int, a int, b string").coalesce(1)
+    specs = [("k", "a", "ka"), ("k", "b", "kb"), ("b", "a", "ba")]
+    want = sorted(map(str, C.nunique_recipe(df, specs).collect()))
+    monkeypatch.setattr(C, "TASK_VALUES", 100)
+    dealt = C.deal_values(df, df.columns, 2 * 1200)
+    sizes = dealt.rdd.glom().map(len).collect()
+    assert len(sizes) == 24 and max(sizes) < 200 and sum(sizes) == 1200  # half of all rows have equal k and a
+    assert sorted(map(str, C.nunique_recipe(df, specs).collect())) == want
+    assert C.deal_values(df, df.columns, 90).rdd.getNumPartitions() == 1
+
+
 def test_user_conversion_leave_one_out(spark):
     rows = [(0, 1, 10, 1, "train"), (1, 1, 11, 0, "train"), (2, 1, 10, 0, "train"),
             (3, 2, 10, 1, "train"), (4, 1, 12, 0, "test"), (5, 3, 10, 0, "test")]
