@@ -91,6 +91,8 @@ def beta_prior_fpi(hist: DataFrame, group_cols: Sequence[str] = (), n: str = "n"
         key = [None if k != k else k for k in key]
         return pd.DataFrame([[*key, float(a), float(b)]], columns=[*names, "alpha", "beta"])
 
+    # few bytes but many steps: dealt by number, or all groups would be joined into one task
+    marg = marg.repartition(hist.sparkSession.sparkContext.defaultParallelism, *names)
     out = marg.groupBy(*names).applyInPandas(fit, schema)
     return out.select(*[F.col(x).alias(g) for x, g in zip(names, gcols)], "alpha", "beta")
 
@@ -232,20 +234,30 @@ def apply_oof_rate(df: DataFrame, stats: DataFrame, pri: DataFrame | None, pairs
     base = df.select(*dict.fromkeys([*keep, *used, fold]), is_train.alias("_train"))
     rows = _with_lookup_fold(base, stats, fold)
     lookups = _pair_lookups(stats)
-    for p in pairs:
-        name = "_".join(p)
-        rows = _join_pair(rows, lookups(name), p)
+    names = ["_".join(p) for p in pairs]
+    fixed = F.lit(float(alpha)), F.lit(float(beta))
+    scaled = lambda rate: F.bround(F.lit(scale) * rate, digits)
+    if pri is not None:  # one row per fold: what keys without rows outside it get, for every pair
+        unseen = pri.groupBy(F.col("lk_fold").alias("_pf")).agg(*[
+            F.max(F.when(F.col("pair") == n, F.struct("alpha", "beta"))).alias(f"_p{i}") for i, n in enumerate(names)])
+        rows = rows.join(F.broadcast(unseen), F.col("_lk") == F.col("_pf"), "left").drop("_pf")
+    for i, (name, p) in enumerate(zip(names, pairs)):
+        def rates(table: DataFrame, name: str = name) -> DataFrame:
+            """Rates made per key, not per row."""
+            a, b = fixed
+            if pri is not None:
+                ab = pri.filter(F.col("pair") == name).select(F.col("lk_fold").alias("_pf"), "alpha", "beta")
+                table = table.join(F.broadcast(ab), F.col("_f") == F.col("_pf"), "left")
+                a, b = F.coalesce("alpha", a), F.coalesce("beta", b)
+            rate = (F.col("_s") + a) / (F.col("_n") + a + b)
+            return table.filter("_n > 0").select("_key", "_f", scaled(rate).alias("_v"))
+
+        rows = _join_pair(rows, lookups(name, rates), p)
+        a, b = fixed
         if pri is not None:
-            ab = F.broadcast(pri.filter(F.col("pair") == name).select(  # one row per fold
-                F.col("lk_fold").alias("_pf"), F.col("alpha").alias("_pa"), F.col("beta").alias("_pb")))
-            rows = rows.join(ab, F.col("_lk") == F.col("_pf"), "left")
-            a, b = F.coalesce(F.col("_pa"), F.lit(float(alpha))), F.coalesce(F.col("_pb"), F.lit(float(beta)))
-        else:
-            a, b = F.lit(float(alpha)), F.lit(float(beta))
-        rate = F.when(F.col("_n") > 0, (F.col("_s") + a) / (F.col("_n") + a + b)).otherwise(a / (a + b))
-        rows = (rows.withColumn(f"{name}_stas", F.bround(F.lit(scale) * rate, digits))
-                .drop("_s", "_n", "_pf", "_pa", "_pb"))
-    return rows.select(*keep, *["_".join(p) + "_stas" for p in pairs])
+            a, b = F.coalesce(f"_p{i}.alpha", a), F.coalesce(f"_p{i}.beta", b)
+        rows = rows.withColumn(f"{name}_stas", F.coalesce("_v", scaled(a / (a + b)))).drop("_v", f"_p{i}")
+    return rows.select(*keep, *[f"{n}_stas" for n in names])
 
 
 def _with_lookup_fold(base: DataFrame, stats: DataFrame, fold: str) -> DataFrame:
@@ -255,15 +267,15 @@ def _with_lookup_fold(base: DataFrame, stats: DataFrame, fold: str) -> DataFrame
 
 
 def _pair_lookups(stats: DataFrame):
-    """Statistics of one pair, broadcast behind the measured size of its rows
+    """Statistics of one pair, or what is ``made`` of them row by row, broadcast behind the measured size of its rows
     (all sizes in one aggregate); a larger table is joined by shuffle."""
     limit = broadcast_limit(stats.sparkSession)
     size = {r["pair"]: r["b"] for r in stats.groupBy("pair").agg(
         F.sum(F.octet_length("key") + F.lit(64)).alias("b")).collect()}
 
-    def one(name: str) -> DataFrame:
-        t = stats.filter(F.col("pair") == name).select(
-            F.col("key").alias("_key"), F.col("lk_fold").alias("_f"), F.col("s").alias("_s"), F.col("n").alias("_n"))
+    def one(name: str, made=lambda t: t) -> DataFrame:
+        t = made(stats.filter(F.col("pair") == name).select(
+            F.col("key").alias("_key"), F.col("lk_fold").alias("_f"), F.col("s").alias("_s"), F.col("n").alias("_n")))
         return F.broadcast(t) if 0 <= size.get(name, 0) <= limit else t
     return one
 

@@ -189,3 +189,11 @@ def test_cross_codes_without_pivot(spark):
     for i, x, y, z in rows:
         assert got[i] == (int(x == "a" and y == 1), 1 + z if x == "a" else 0, 0 if y is None else 1 + z)
     assert "PivotFirst" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_priors_are_fitted_by_several_tasks(spark):
+    hist = spark.createDataFrame([(g, n, n % 3, 5) for g in range(40) for n in range(3, 9)], "g int, n int, c int, m int")
+    out = target.beta_prior_fpi(hist, ["g"])
+    assert out.count() == 40 and out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    one = target.beta_prior_fpi(hist.filter("g = 7"), ["g"]).first()
+    assert [tuple(r)[1:] for r in out.filter("g = 7").collect()] == [tuple(one)[1:]]
