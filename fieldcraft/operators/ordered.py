@@ -117,27 +117,42 @@ def pair_token_max_bounded(df: DataFrame, left: str, right: str, keep: Sequence[
     counts pairs of such tokens alone. The last round has no lower bound, so every
     maximum is exact. Token sums cost one aggregation of tokens, not of pairs."""
     keep = list(keep)
-    cells = materialize(df.select(*keep, *[F.coalesce(tokens(c, s), F.array().cast("array<string>")).alias(a)
-                                           for c, s, a in ((left, left_sep, "_l"), (right, right_sep, "_r"))]), "cells")
-    one = lambda side, mine, other: cells.select(
-        *keep, F.lit(side).alias("side"), F.size(other).alias("w"), F.explode(mine).alias("tok"))
-    toks = one("l", "_l", "_r").unionByName(one("r", "_r", "_l"))
-    bounds = toks.groupBy("side", "tok").agg(F.sum("w").cast("long").alias("b"))
-    # a row's distinct tokens with how often it holds them and their bounds
-    held = materialize(toks.groupBy(*keep, "side", "tok").agg(F.count(F.lit(1)).alias("p"))
-                       .join(bounds, ["side", "tok"]), "held")
     name = f"{left}_{right}_pair_max"
-    total = cells.agg(F.sum(F.size(F.array_distinct("_l")).cast("long") * F.size(F.array_distinct("_r")))).first()[0] or 0
-    top = held.agg(F.max("b")).first()[0] or 0
+    # a row's distinct tokens with how often it holds them, as runs of the sorted cell
+    cells = df.select(*keep, *[F.sort_array(F.coalesce(tokens(c, s), F.array().cast("array<string>"))).alias(a)
+                               for c, s, a in ((left, left_sep, "_l"), (right, right_sep, "_r"))])
+    starts = lambda a: F.filter(F.transform(a, lambda x, i: F.when((i == 0) | (x != F.get(F.col(a), i - 1)), i)),
+                                lambda i: i.isNotNull())
+    runs = lambda a: F.transform(f"{a}s", lambda at, i: F.struct(
+        F.get(F.col(a), at).alias("tok"), (F.coalesce(F.get(F.col(f"{a}s"), i + 1), F.size(a)) - at).alias("p")))
+    cells = materialize(cells.withColumns({"_ls": starts("_l"), "_rs": starts("_r")}).select(
+        *keep, F.size("_l").alias("_ln"), F.size("_r").alias("_rn"), runs("_l").alias("_l"), runs("_r").alias("_r")), "cells")
+
+    def entries(rows: DataFrame, l: str, r: str, *more: str) -> DataFrame:
+        """The tokens of both sides, one row each."""
+        one = lambda side, mine: rows.select(*keep, *more, F.lit(side).alias("side"), F.explode(mine).alias("_e"))
+        return one("l", l).unionByName(one("r", r)).select(*keep, *more, "side", "_e.*")
+
+    def gathered(some: DataFrame) -> DataFrame:
+        """One row per row again, ``l`` and ``r``: its tokens, their numbers and bounds."""
+        part = lambda s: F.collect_list(F.when(F.col("side") == s, F.struct("tok", "p", "b"))).alias(s)
+        return some.groupBy(*keep).agg(part("l"), part("r"))
+
+    toks = entries(cells, "_l", "_r", "_ln", "_rn")
+    bounds = toks.groupBy("side", "tok").agg(F.sum(F.col("p").cast("long") * F.when(F.col("side") == "l", F.col("_rn"))
+                                                   .otherwise(F.col("_ln"))).alias("b"))
+    bounds = materialize(bounds, "bounds")
+    # tokens are moved once, to get their bounds; the rounds then read whole rows
+    held = materialize(gathered(toks.drop("_ln", "_rn").join(broadcast_if_small(bounds), ["side", "tok"])), "held")
+    total = cells.agg(F.sum(F.size("_l").cast("long") * F.size("_r"))).first()[0] or 0
+    top = bounds.agg(F.max("b")).first()[0] or 0
 
     def pairs(some: DataFrame, low: int, high: int) -> DataFrame:
         """The rows' distinct pairs whose bound is at least ``low`` and below ``high``."""
-        part = lambda s: F.collect_list(F.when(F.col("side") == s, F.struct("tok", "p", "b")))
         cross = F.flatten(F.transform(F.filter("l", lambda a: a["b"] >= low), lambda a: F.transform(
             F.filter("r", lambda b: (b["b"] >= low) & (F.least(a["b"], b["b"]) < high)),
-            lambda b: F.struct(a["tok"].alias("x"), b["tok"].alias("y"), (a["p"] * b["p"]).alias("n")))))
-        return (some.groupBy(*keep).agg(part("l").alias("l"), part("r").alias("r"))
-                .select(*keep, F.explode(cross).alias("_e")).select(*keep, "_e.*"))
+            lambda b: F.struct(a["tok"].alias("x"), b["tok"].alias("y"), (a["p"].cast("long") * b["p"]).alias("n")))))
+        return some.select(*keep, F.explode(cross).alias("_e")).select(*keep, "_e.*")
 
     best, counted, above, could, some = None, 0, top + 1, held, held
     for k in range(rounds):
@@ -145,16 +160,20 @@ def pair_token_max_bounded(df: DataFrame, left: str, right: str, keep: Sequence[
         counts = materialize(pairs(some, low, above).groupBy("x", "y").agg(
             F.sum("n").alias("c"), F.count(F.lit(1)).alias("rows")), "pairs")
         counted += counts.agg(F.sum("rows")).first()[0] or 0
-        now = pairs(could, low, above).join(counts.drop("rows"), ["x", "y"]).groupBy(*keep).agg(F.max("c").alias("c"))
+        now = pairs(could, low, above).join(broadcast_if_small(counts.drop("rows")), ["x", "y"]).groupBy(*keep).agg(F.max("c").alias("c"))
         best = materialize(now if best is None else best.unionByName(now).groupBy(*keep).agg(F.max("c").alias("c")), "best")
         above = low
         if low == 0:
             break
         # tokens that can still raise their row's maximum, by a pair bounded below ``low``
-        could = materialize(held.join(best, keep, "left").filter(F.col("b") > F.coalesce("c", F.lit(0)))
-                            .filter(F.coalesce("c", F.lit(0)) < low).drop("c"), "could")
-        need = could.select("side", "tok").distinct()
-        some = held.join(need, ["side", "tok"], "left_semi")
+        most = F.coalesce("c", F.lit(0))
+        could = held.join(best, keep, "left").filter(most < low).select(
+            *keep, *[F.filter(s, lambda t: t["b"] > most).alias(s) for s in ("l", "r")])
+        could = materialize(could.filter("size(l) > 0 OR size(r) > 0"), "could")
+        if could.isEmpty():
+            break
+        need = materialize(entries(could, "l", "r").select("side", "tok").distinct(), "need")
+        some = gathered(entries(held, "l", "r").join(broadcast_if_small(need), ["side", "tok"], "left_semi"))
     out = (cells.select(*keep).join(best, keep, "left")
            .select(*keep, F.coalesce("c", F.lit(0)).cast("long").alias(name)))
     return out, (counted / total if total else 0.0)

@@ -86,6 +86,21 @@ def test_bounded_pair_counts(spark, rounds):
     assert none.count() == 0 and nothing == 0.0
 
 
+def test_bounded_pair_counts_write_rows_not_tokens(spark, monkeypatch):
+    cells = [(i, " ".join(f"a{(i * j) % 11}" for j in range(6)), f"b{i % 3},b{i % 4}") for i in range(60)]
+    df = spark.createDataFrame(cells, "row_id long, a string, b string")
+    written, real = [], O.materialize
+
+    def spy(table, name):
+        out = real(table, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(O, "materialize", spy)
+    assert O.pair_token_max_bounded(df, "a", "b", ["row_id"])[0].count() == 60
+    assert ("held", 60) in written  # one row per row, however many tokens it has
+
+
 @pytest.mark.parametrize("mode,unseen", [("pos", 0), ("rate", 0.05)])
 def test_null_cells_keep_their_row(spark, mode, unseen):
     rows = [(i, None if i % 4 == 1 else f"a b{i % 3}", int(i % 3 == 0)) for i in range(24)]
