@@ -3,7 +3,8 @@
 The ids are folded into a bitmap of fixed size (``BITS`` bits, 2 MB), the only
 thing broadcast. Rows whose bit is clear are certainly not among the ids and
 stay where they are; only the others are joined. A full bitmap only means that
-more rows are joined; results never change.
+more rows are joined; results never change. The join hashes a partition's part
+of the narrow table, so the wide rows pass by and are never sorted.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def flag_likely(rows: DataFrame, key: Column, ids: DataFrame, name: str = "__lik
 def rows_of(rows: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
     """Inner join of ``rows`` with ``table`` on their keys."""
     near = flag_likely(rows, F.col(f"`{key}`"), table.select(table_key).distinct()).filter("__likely").drop("__likely")
-    return near.join(table, F.col(f"`{key}`") == F.col(f"`{table_key}`"))
+    return near.join(table.hint("shuffle_hash"), F.col(f"`{key}`") == F.col(f"`{table_key}`"))
 
 
 def rows_without(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
@@ -48,7 +49,8 @@ def rows_without(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     ids = ids.select(F.col(f"`{ids.columns[0]}`").alias("gone")).distinct()
     flagged = flag_likely(packed, F.col("key"), ids)
     sure = flagged.filter("NOT __likely").select("row.*")
-    rest = flagged.filter("__likely").join(ids, F.col("key") == F.col("gone"), "left_anti").select("row.*")
+    rest = (flagged.filter("__likely").join(ids.hint("shuffle_hash"), F.col("key") == F.col("gone"), "left_anti")
+            .select("row.*"))
     return sure.unionByName(rest)
 
 

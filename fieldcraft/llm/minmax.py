@@ -110,7 +110,7 @@ def signatures(docs: DataFrame, permutations: int = PERMUTATIONS, rows: int = RO
     return docs.select("id", "text").mapInArrow(run, SIGNATURE)
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray], limit: int = 1 << 20):
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], limit: int = 1 << 18):
     """Yield (first left row, matrix) of exact intersection sizes between
     sorted distinct sets; ``limit`` bounds the matches held at once."""
     post = np.concatenate(right) if right else np.empty(0, np.uint64)

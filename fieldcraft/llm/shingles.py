@@ -12,7 +12,8 @@ from __future__ import annotations
 import numpy as np
 
 WORDS = 5
-BLOCK_BYTES = 1 << 20
+#: text hashed at once; the working arrays take about 50 times as much
+BLOCK_BYTES = 1 << 18
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INV = _U(pow(int(_BASE), -1, 1 << 64))

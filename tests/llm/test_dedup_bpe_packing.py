@@ -3,14 +3,17 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 
 import fieldcraft.llm.queries as Q
 from fieldcraft.llm import bpe, graph, minmax, packing
+from fieldcraft.llm import shingles as shingle_sets
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -166,6 +169,26 @@ def test_prefixes_keep_every_link():
             assert set(a[:minmax.prefix_length(len(a), 75)]) & set(b[:minmax.prefix_length(len(b), 75)])
 
 
+def test_working_arrays_are_bounded():
+    """Sets of 4 MB of texts and their comparison hold a few MB besides the sets."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    texts = pa.array([" ".join(r.choices(words, k=350)) for _ in range(2000)])
+    tracemalloc.start()
+    try:
+        n = sum(len(s) for s in shingle_sets.sets(texts))
+        most = tracemalloc.get_traced_memory()[1]
+        sets = [np.arange(3000, dtype=np.uint64) for _ in range(200)]
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        pairs = minmax.linked_pairs(sets[:100], sets[100:], 75, False)
+        compared = tracemalloc.get_traced_memory()[1] - held
+    finally:
+        tracemalloc.stop()
+    assert n == 2000 * 346 and len(pairs) == 100 * 100
+    assert most < 30 << 20 and compared < 50 << 20, (most >> 20, compared >> 20)
+
+
 def check_packed(rows, texts, window=2048):
     """All contract points of packed pieces; the number of sequences."""
     from tokenizers import Tokenizer

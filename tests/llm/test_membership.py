@@ -31,3 +31,18 @@ def test_rows_without_any_column_names(spark):
     got = M.rows_without(rows, "doc_id", ids)
     assert got.columns == names
     assert sorted(r.row for r in got.collect()) == [i for i in range(40) if i not in (1, 2)]
+
+
+def test_wide_rows_are_not_sorted(spark):
+    """The joins hash the narrow table; rows with texts are sorted nowhere."""
+    rows = spark.range(300).select(F.col("id").alias("k"), F.lit("text").alias("text"))
+    ids = spark.range(0, 300, 7).select(F.col("id").alias("i"))
+    now = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for got, n in ((M.rows_of(rows, "k", ids, "i"), 43), (M.rows_without(rows, "k", ids), 257)):
+            assert got.count() == n
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", now)
