@@ -164,3 +164,56 @@ def test_split_order_replays_best_gain_first():
     splits |= {7: s(0.0), 8: s(0.0)}
     assert LW.split_order(splits, children, 4) == ([0, 2, 3], [])
     assert LW.split_order(splits, children, 5) == ([0, 2, 3, 1], [])
+
+
+def test_a_round_is_one_job_and_trees_keep_to_the_rules(spark):
+    df = table(spark, data(1500, 3))
+    blocks = encoded(spark, df, 4)
+    blocks.count()
+    cfg = LW.BoostConfig(trees=8, leaves=15, lr=0.3, min_child_weight=1.0, min_rows=5, max_bins=32, persist_every=3)
+    spark.sparkContext.setJobGroup("leafwise-rounds", "")
+    model = LW.fit(blocks, df, cfg)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("leafwise-rounds"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8 * (cfg.leaves - 1) + 60
+    assert len(model.history) == 8 and all(len(t) <= 29 for t in model.trees)
+    m, ids = dense(blocks), [r.row_id for r in df.select("row_id").orderBy("row_id").collect()]
+    rows = {r.row_id: r for r in df.collect()}
+    y, held = np.array([rows[i].label for i in ids]), np.array([rows[i].is_valid for i in ids])
+    margin = np.full(len(ids), model.base)
+    for number, tree in enumerate(model.trees):
+        p = 1 / (1 + np.exp(-margin))
+        live = ~held & (LW.uniform(np.array(ids), cfg.seed + number) < cfg.row_share)
+        at = np.zeros(len(ids), int)
+        for i, node in enumerate(tree):
+            if node.left >= 0:
+                assert LW.uniform(np.array([node.feature]), cfg.seed + 7919 * (number + 1))[0] < cfg.col_share
+                at[at == i] = np.where(m[at == i, node.feature] <= node.cut, node.left, node.right)
+            else:
+                mine = live & (at == i)
+                want = -cfg.lr * (p - y)[mine].sum() / ((p * (1 - p))[mine].sum() + cfg.reg_lambda)
+                assert node.value == pytest.approx(want, abs=1e-9)
+        margin += np.array([n.value for n in tree])[at]
+        pos, neg = margin[held & (y > 0)], margin[held & (y == 0)]
+        auc = np.mean((pos[:, None] > neg) + 0.5 * np.isclose(pos[:, None], neg, rtol=0, atol=1e-12))
+        assert model.history[number] == pytest.approx(auc, abs=1e-9)
+
+
+def test_slices_of_cells_grow_the_same_trees(spark, monkeypatch):
+    df = table(spark, data(1200, 11))
+    blocks = encoded(spark, df, 3)
+    cfg = LW.BoostConfig(trees=2, leaves=12, lr=0.2, min_child_weight=1.0, min_rows=5, max_bins=32)
+    one = LW.fit(blocks, df, cfg)
+    monkeypatch.setattr(LW, "SLICE_CELLS", 20)
+    monkeypatch.setattr(LW, "MOVE_EVERY", 2)
+    many = LW.fit(blocks, df, cfg)
+    assert one.history == pytest.approx(many.history, abs=1e-12)
+    for a, b in zip(one.trees, many.trees):
+        assert [(n.feature, n.bin, n.cut, n.left, n.right) for n in a] == [(n.feature, n.bin, n.cut, n.left, n.right) for n in b]
+        assert [n.value for n in a] == pytest.approx([n.value for n in b], abs=1e-12)
+
+
+def test_one_class_in_the_validation_rows_has_no_auc(spark):
+    df = table(spark, [(*r[:5], 1 if r[6] else r[5], r[6]) for r in data(300, 2)])
+    model = LW.fit(encoded(spark, df, 2), df, LW.BoostConfig(trees=5, stop_rounds=3, min_child_weight=1.0, persist_every=2))
+    assert model.history == (None, None, None) and model.trees == []
