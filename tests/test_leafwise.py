@@ -166,6 +166,13 @@ def test_split_order_replays_best_gain_first():
     assert LW.split_order(splits, children, 5) == ([0, 2, 3, 1], [])
 
 
+def test_registered_query_trains_with_the_reference_parameters():
+    from fieldcraft.plans.q_trained import BOOST
+    assert (BOOST.trees, BOOST.stop_rounds, BOOST.leaves, BOOST.lr) == (300, 100, 31, 0.05)
+    assert (BOOST.row_share, BOOST.col_share, BOOST.min_child_weight, BOOST.reg_lambda) == (0.7, 0.7, 50.0, 1.0)
+    assert BOOST.max_bins == LW.BoostConfig().max_bins == 255
+
+
 def test_a_round_is_one_job_and_trees_keep_to_the_rules(spark):
     df = table(spark, data(1500, 3))
     blocks = encoded(spark, df, 4)
