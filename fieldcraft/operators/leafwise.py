@@ -53,6 +53,8 @@ BINNED = ("block long, row_ids array<long>, labels array<double>, held array<boo
 HIST = "leaf int, feature long, bin int, zero int, g double, h double, n long"
 #: the feature number of a leaf's totals
 TOTAL = -1
+#: blocks that a reader holds at once
+GROUP_ROWS = 2
 
 
 @dataclass(frozen=True)
@@ -803,7 +805,7 @@ def fit(blocks: DataFrame, rows: DataFrame, cfg: BoostConfig, row_id: str = "row
     p = min(max(share[0] if share[0] is not None else 0.5, 1e-6), 1 - 1e-6)
     base = math.log(p / (1 - p))
     cuts = materialize(quantile_cuts(blocks, cfg.max_bins), "cuts")
-    binned = materialize(bin_blocks(blocks, rows, cuts, base, row_id, label, valid), "binned")
+    binned = materialize(bin_blocks(blocks, rows, cuts, base, row_id, label, valid), "binned", GROUP_ROWS)
     cells = cuts.agg(F.coalesce(F.sum(F.size("cuts") + 1), F.lit(0))).first()[0]
     slices = -(-max(cells, 1) // SLICE_CELLS)
     parts = max(1, min(rows.sparkSession.sparkContext.defaultParallelism, -(-share[1] // BLOCK_ROWS)))
